@@ -31,7 +31,7 @@ CONFUSED = {
     "rn": ["m"], "vv": ["w"], "li": ["h"], "nn": ["m"], "q": ["g"],
 }
 SIGNS = set("0156789!|@$(")
-LOG_CONFUSE, LOG_TWO = math.log(0.003), math.log(0.0003)  # one confused character, two of them
+LOG_CONFUSE, LOG_TWO = math.log(0.01), math.log(0.001)  # one confused character, two of them
 LOG_SIGN = math.log(1e-4)  # that a true word holds a digit or sign between letters
 ALPHA = 0.05  # count of a word never seen
 PAIR = 0.7  # weight of the word-pair model against single words
@@ -40,14 +40,15 @@ _D = "0-9०-९০-৯۰-۹٠-٩௦-௯"
 _PAGE = re.compile(
     rf"(?:(?:page|pg\.?|p\.|पृष्ठ|पान|पृ\.|صفحہ|পৃষ্ঠা|பக்கம்|第)\s*[-:.|]?\s*[{_D}OlI]{{1,5}}(?:\s*(?:of|/|का|में से|میں سے)\s*[{_D}OlI]{{1,5}})?(?:\s*[页頁])?"
     rf"|p\s?a\s?g\s?e\s*\|?\s*[{_D}OlI]{{1,5}}|[{_D}]{{1,5}}\s*/\s*[{_D}]{{1,5}}|[{_D}]{{1,5}}\s*(?:ページ|页|頁)"
-    rf"|[-~–—=*]+\s*(?:[{_D}OlI]{{1,4}}|[ivx]{{1,7}})\s*[-~–—=*]+|[\[(<]\s*(?:[{_D}OlI]{{1,4}}|[ivx]{{1,7}})\s*[\])>])",
+    rf"|[-~–—=*]+\s*(?:[{_D}OlI]{{1,4}}|[ivx]{{1,7}})\s*[-~–—=*]+|[\[(]\s*(?:[{_D}OlI]{{1,4}}|[ivx]{{1,7}})\s*[\])])",
     re.I,
 )
 _BARE = re.compile(rf"[{_D}]{{1,4}}|[ivx]{{1,7}}|[IVX]{{1,7}}")
 _STRIP_L, _STRIP_R = "\"'“‘([{«<*_>#", "\"'”’)]}»>.,;:?!*_…।"
 _LATIN = re.compile(r"[a-z]")
 _CODE = re.compile(r"[@/\\=&#<>{}+_]|\d.*\d|\.\w|-\d|\d-")
-_NUMBER = re.compile(r"(?=[^A-Za-z]*[OolI])[+(]{0,2}[\dOolI][\dOolI,.\-)(]{3,}")
+# a number with a letter read for a digit; four digits and a letter end a tax number
+_NUMBER = re.compile(r"(?=[^A-Za-z]*[OolI])(?!\d{4}[A-Z]$)[+(]{0,2}[\dOolI][\dOolI,.\-)(]{3,}|[A-Z\d/-]*\d[OolISB]\d[A-Z\d/-]*")
 _END = re.compile(r"[.!?।॥。！？۔؟…:;,]\W*$")
 
 
@@ -77,12 +78,11 @@ def _is_code(w: str) -> bool:
 def keys_maker():
     words = Words()
 
-    def keys(text: str) -> Counter:
+    def keys(text: str) -> list[str]:
         tokens = [words[t] for t in text.split()]
-        out = Counter(tokens)
-        out.update([a + " " + b for a, b in zip(tokens, tokens[1:]) if a and b])
-        del out[""]
-        out["\ttotal"] = len(tokens)
+        out = [t for t in tokens if t]
+        out += ["\ttotal"] * len(out)
+        out += [a + " " + b for a, b in zip(tokens, tokens[1:]) if a and b]
         return out
 
     return keys
@@ -274,14 +274,14 @@ class Cleaner:
             core = t.strip("\"'“”‘’.,;:!?।")
             if _NUMBER.fullmatch(core) and sum(c.isdigit() for c in core) >= 3:
                 noise.add("misread")
-                raw[i] = t.replace(core, core.translate(str.maketrans("OolI", "0011")))
+                raw[i] = t.replace(core, re.sub(r"(?<=\d)[OolISB]|[OolISB](?=\d)", lambda m: "001158"["OolISB".index(m.group())], core))
                 changed = True
         return " ".join(raw) if changed else line
 
     def parted(self, line: str, nxt: str) -> str | None:
         """Both lines joined, if a word is parted between them."""
         a, b = line.rstrip(), nxt.lstrip()
-        if len(a) < 2 or a[-1] not in MARKS or not (a[-2].isalpha() or a[-2] in "्ािीुूेैोौं" or a[-2] in SIGNS) or not b:
+        if len(a) < 2 or a[-1] not in MARKS or not (a[-2].isalpha() or a[-2] in "्ािीुूेैोौं" or a[-2] in SIGNS - {"|"}) or not b:
             return None
         if not (b[0].islower() or b[0] in SIGNS or (b[0].isalpha() and not b[0].isascii() and not b[0].isupper())):
             return None

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from array import array
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEPTH, BITS = 3, 18
-FLUSH = 200_000  # distinct keys a task holds before it folds them into its array
+FLUSH = 300_000  # distinct keys a task holds before it folds them into its array
 
 
 def cells(key: str, bits: int) -> tuple[int, int, int]:
@@ -39,8 +39,17 @@ class Counts:
         return min(f[a], f[b], f[c])
 
 
-def count_keys(df: DataFrame, column: str, make: Callable[[], Callable[[str], dict[str, int]]], bits: int = BITS) -> Counts:
-    """Counts of the keys that the function made by make() yields for each non-null text; make() is called once a task."""
+def count_keys(
+    df: DataFrame,
+    column: str,
+    make: Callable[[], Callable[[str], Iterable[str]]],
+    bits: int = BITS,
+    expand: Callable[[dict[str, int]], dict[str, int]] | None = None,
+) -> Counts:
+    """Counts of the keys that the function made by make() yields for each non-null text; make() is called once a task.
+
+    expand turns counted keys into the keys to be kept, where many of these follow from each distinct one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys_of = make()
@@ -48,8 +57,9 @@ def count_keys(df: DataFrame, column: str, make: Callable[[], Callable[[str], di
 
         def fold() -> None:
             if held:
-                at = np.array([cells(k, bits) for k in held]).ravel()
-                np.add.at(flat, at, np.repeat(np.fromiter(held.values(), dtype=np.int64, count=len(held)), DEPTH))
+                kept = expand(held) if expand else held
+                at = np.array([cells(k, bits) for k in kept]).ravel()
+                np.add.at(flat, at, np.repeat(np.fromiter(kept.values(), dtype=np.int64, count=len(kept)), DEPTH))
                 held.clear()
 
         for b in batches:
