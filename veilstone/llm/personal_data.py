@@ -30,6 +30,7 @@ LABELS = ["O", "email", "phone", "identity_number", "street_address", "person_na
 O, EMAIL, PHONE, IDENT, ADDRESS, NAME = range(6)
 SAMPLE_ROWS = 2500  # rows read for fitting at most
 SIZE = 1 << 15
+MISSED, MISSED_NAME = 0.02, 0.08  # weight of untagged units and name words: detectors miss many
 CHAIN, SKIP = 1.2, 1.0  # potentials of equal labels along chain and skip edges
 ROUNDS = 4  # rounds of message passing
 MAX_SKIP = 1  # each node is joined to the last one like it before, so edges grow with the nodes only
@@ -40,15 +41,23 @@ _DIGIT = "0-9०-९০-৯۰-۹٠-٩௦-௯"
 _LEVEL = str.maketrans("०१२३४५६७८९০১২৩৪৫৬৭৮৯۰۱۲۳۴۵۶۷۸۹٠١٢٣٤٥٦٧٨٩௦௧௨௩௪௫௬௭௮௯", "0123456789" * 5)
 _WAYS = r"Road|Street|Gali|Marg|Colony|Lane|Cross|Layout|Residency|Nagar|Sector|Market|Block|Chowk|Path|Bagh|Enclave|Apartments?|Society|Avenue|Vihar|Phase|Main"
 _AT, _DOT = r"(?:\s?[\[({<]\s?at\s?[\])}>]\s?|\s+at\s+)", r"(?:\s?[\[({<]\s?dot\s?[\])}>]\s?|\s+dot\s+)"
-_UNIT = re.compile(
-    rf"(?P<mail>[A-Za-z0-9._%+\-]+(?:\s?@\s?[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{{2,}}|{_AT}[A-Za-z0-9\-]+(?:{_DOT}[A-Za-z0-9\-]+)+))"
-    rf"|(?P<addr>(?<![\w#])(?:(?:Flat|Plot|Room|Door|House|Shop|Quarter|Qtr|H\.\s?No|D\.\s?No|F\.\s?No)\b\.?\s*(?:No\b\.?\s*)?|(?:मकान|घर|फ्लैट|फ़्लैट|प्लॉट|कमरा|दरवाज़ा)\s+(?:(?:नं|क्र|नंबर|संख्या)\.?\s*)?|(?:বাড়ি|ফ্ল্যাট|வீட்டு|கதவு|مکان|فلیٹ)\s+(?:(?:নং|எண்|نمبر)\.?\s*)?)"
-    rf"[A-Z]?-?[{_DIGIT}]+[A-Za-z]?(?:[-/][{_DIGIT}A-Za-z]+)*(?:,|\s+(?:behind|near|opp|opposite|beside|के|ke)\b)\s*\S+"
-    rf"|(?<![\w#/.,:-])(?<!\$\s)[{_DIGIT}]{{1,4}}[A-Z]?(?:[-/][{_DIGIT}]+)?,\s+(?:[A-Z][a-z]+\s+){{1,3}}(?:{_WAYS})\b)"
-    rf"|(?P<num>(?<![\w@./])(?:(?:FID|PMRN|UHID|IPD|PPP|EPISODE)[-_:.\s]{{1,3}})?(?:\(?\+?(?:91|९१|০৯১)\)?[-\s]?)?(?:[A-Za-z]{{1,5}}[-\s]?)?[{_DIGIT}OIl](?:[{_DIGIT}A-Za-z]|[-\s](?=[{_DIGIT}A-Z])){{4,22}}(?![\w@]|[/.][{_DIGIT}]))"
+# each pattern starts with a set of characters, so that the scan passes over the rest quickly; look-behinds follow
+_L, _C = r"A-Za-z0-9._%+\-", f"{_DIGIT}OIl"
+_MAIL = re.compile(rf"[{_L}](?<![{_L}].)[{_L}]*\s?@\s?[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{{2,}}")
+_SPELT = re.compile(rf"[{_L}](?<![{_L}].)[{_L}]*{_AT}[A-Za-z0-9\-]+(?:{_DOT}[A-Za-z0-9\-]+)+")
+_HOUSE = re.compile(
+    rf"[FPRDHSQ](?<![\w#].)(?:lat|lot|oom|oor|ouse|hop|uarter|tr|\.\s?No)\b\.?\s*(?:No\b\.?\s*)?[A-Z]?-?[{_DIGIT}]+[A-Za-z]?(?:[-/][{_DIGIT}A-Za-z]+)*(?:,|\s+(?:behind|near|opp|opposite|beside|ke)\b)\s*\S+"
+    rf"|[मघफपकदবফவகمفہ](?<![ऀ-ॿঀ-৿஀-௿؀-ۿ].)(?:कान|र|्लैट|़्लैट|्लॉट|मरा|रवाज़ा|াড়ি|্ল্যাট|ீட்டு|தவு|کان|لیٹ)\s+(?:(?:नं|क्र|नंबर|संख्या|নং|எண்|نمبر)\.?\s*)?[{_DIGIT}]+[A-Za-z]?(?:[-/][{_DIGIT}A-Za-z]+)*(?:[,،]|\s+के\b)\s*\S+"
+)
+_BARE_HOUSE = re.compile(rf"[{_DIGIT}](?<![\w#/.,:-].)(?<!\$\s.)[{_DIGIT}]{{0,3}}[A-Z]?(?:[-/][{_DIGIT}]+)?,\s+(?:[A-Z][a-z]+\s+){{1,3}}(?:{_WAYS})\b")
+_ADDRESS_REST = re.compile(rf"(?:,?\s+(?:[A-Z][A-Za-z]*\b|[{_DIGIT}]{{1,6}}\b(?![/.]\d)))*|(?:[^।.\n]{{0,60}}?(?=\s+(?:है|आहे)\b|।))")
+_NUMBER = re.compile(rf"[(+{_C}](?<![\w@/.].)[+{_C}]*(?:[-\s)]{{1,2}}(?=[({_C}])[({_C}]+){{0,4}}(?![\w@]|[/.][{_DIGIT}])")
+_LETTERED = re.compile(
+    rf"[A-Z](?<![A-Za-z0-9@/.].)(?:[A-Z]{{4}}\s?[{_C}]{{4}}\s?[A-Z]\b|[A-Z][-\s]?[0-9OI]{{2}}[-\s]?[A-Z]{{1,3}}[-\s]?[0-9OISB]{{4}}\b|[A-Z]{{0,5}}-?[0-9][0-9OIl]{{5,14}}\b)(?![@/])"
+    rf"|[0-9I](?<![A-Za-z0-9@/.].)[A-Z]{{3}}[0-9OIB]{{4}}\b|[0-9](?<=\b[a-z]{{5}}.)[0-9]{{3}}[a-z]\b"
 )
 _TOKEN_L = re.compile(r"[A-Z](?:[A-Za-z@0159!(]*[A-Za-z])?(?:[-‐¬\xad~]\n[a-z]+)?")
-_SEQ = re.compile(r"(?<![\w@.+\\<-])[A-Z](?:\.|(?:[A-Za-z@0159!(]*[A-Za-z])?(?:[-‐¬\xad~]\n[a-z]+)?\.?)(?:[ \t]*\n?[ \t]*(?:(?<=\.)|(?<=\s))[A-Z](?:[A-Za-z@0159!(]*[A-Za-z])?(?:[-‐¬\xad~]\n[a-z]+)?\.?)*(?![\w@+])")
+_SEQ = re.compile(r"[A-Z](?<![\w@.+\\<\-].)(?:\.|(?:[A-Za-z@0159!(]*[A-Za-z])?(?:[-‐¬\xad~]\n[a-z]+)?\.?)(?:[ \t]*\n?[ \t]*(?:(?<=\.)|(?<=\s))[A-Z](?:[A-Za-z@0159!(]*[A-Za-z])?(?:[-‐¬\xad~]\n[a-z]+)?\.?)*(?![\w@+])")
 _DEVA = re.compile(r"[ऀ-ॣॱ-ॿ]+")
 _WORD_BEFORE = re.compile(r"(\S+)\s*$")
 _MASKED = re.compile(r"[*]{2,}|X{3,}|REDACTED|^\W*(?:\w\.\s?)+\W*$")
@@ -67,7 +76,7 @@ def value_key(s: str) -> str:
 # The forms of identifiers, on text without spaces and hyphens, capital letters.
 _FORMS = [
     ("pan", re.compile(r"[A-Z]{5}[\dOIl]{4}[A-Z]")), ("voter", re.compile(r"[A-Z]{3}[\dO]{7}")), ("passport", re.compile(r"[A-Z][\dO]{7,8}")), ("vehicle", re.compile(r"[A-Z]{2}[\dOS]{1,2}[A-Z]{1,3}[\dOSIB]{4}")),
-    ("family", re.compile(r"[\dI][A-Z]{3}[\dOIB]{4}|[A-Z0-9]{8}(?<=\d)")), ("hospital", re.compile(r"(?:MRN|CLN|GH|[A-Z]{2,6})\d{5,15}")),
+    ("family", re.compile(r"[\dI][A-Z]{3}[\dOIB]{4}|[A-Z0-9]{8}(?<=\d)")), ("hospital", re.compile(r"[A-Z]{2,6}\d{5,15}")),
 ]
 
 
@@ -115,37 +124,53 @@ def words_after(text: str, at: int, n: int = 2) -> list[str]:
     return [w.lower() for w in text[at : at + 28].split()[:n]]
 
 
-_PREFIX = re.compile(r"(?:(?:FID|PMRN|UHID|IPD|PPP|EPISODE|UID|PAN|EPIC|AADHAAR|NO|CARD|ID)[-_:.\s]+)+", re.I)
+def units(text: str) -> Iterator[tuple[str, int, int, str]]:
+    """(kind, start, end, form) of what has the form of an e-mail, address or number; earlier kinds take precedence."""
+    if "@" in text:
+        for m in _MAIL.finditer(text):
+            yield "mail", m.start(), m.end(), "at"
+    if "dot" in text:
+        for m in _SPELT.finditer(text):
+            yield "mail", m.start(), m.end(), "spelled"
+    for pattern, form in ((_HOUSE, "house"), (_BARE_HOUSE, "bare")):
+        for m in pattern.finditer(text):
+            rest = _ADDRESS_REST.match(text, m.end())
+            yield "addr", m.start(), rest.end() if rest else m.end(), form
+    for m in _LETTERED.finditer(text):
+        a, b = m.span()
+        if text[a].isdigit() and text[b - 1].islower():
+            a -= 5  # a tax number in small letters
+        form, _ = forms_of(text[a:b])
+        if form:
+            yield "num", a, b, form
+    for m in _NUMBER.finditer(text):
+        if m.end() - m.start() < 9:
+            continue
+        a, b = m.span()
+        form, _ = forms_of(m.group())
+        if not form and " " in m.group():  # several numbers side by side
+            for s in re.finditer(r"\S+(?:\s\S+){0,3}", m.group()):
+                form, _ = forms_of(s.group())
+                if form:
+                    a, b = a + s.start(), a + s.end()
+                    break
+        if form:
+            if text[a] == "(" and ")" not in text[a:b]:
+                a += 1
+            yield "num", a, b, form
 
 
-def read(text: str, names: dict[str, str], lexed: bool = True) -> list[Node]:
+def read(text: str, names: dict[str, str]) -> list[Node]:
     """Candidate nodes of a text in order."""
     nodes: list[Node] = []
     taken: list[tuple[int, int]] = []
     seq = 0
-    for m in _UNIT.finditer(text):
-        kind, (a, b) = m.lastgroup, m.span()
-        raw = m.group()
-        form = ""
-        if kind == "num":
-            if p := _PREFIX.match(raw):
-                a += p.end()
-                raw = raw[p.end() :]
-            form, _ = forms_of(raw)
-            if not form:  # a shorter reading of the same characters: words before or after the number
-                for s in re.finditer(rf"[A-Z]{{5}}\s?[{_DIGIT}OIl]{{4}}\s?[A-Z]\b|[A-Z]{{2}}[-\s]?\d\d[-\s]?[A-Z]{{1,2}}[-\s]?[\dSOB]{{4}}\b|\(?\+?[{_DIGIT}OIl][{_DIGIT}OIl\-\s)]{{8,22}}[{_DIGIT}OIl]", raw):
-                    form, _ = forms_of(s.group())
-                    if form:
-                        a, b, raw = a + s.start(), a + s.end(), s.group()
-                        break
-            if not form:
-                continue
-            if text[a : a + 1] == "(" and ")" not in raw:
-                a += 1
-        elif kind == "mail":
-            form = "at" if "@" in raw else "spelled"
-        else:
-            form = "house" if not raw[0].isdigit() else "bare"
+    used: list[tuple[str, int, int, str]] = []
+    for u in units(text):
+        if all(u[2] <= x[1] or u[1] >= x[2] for x in used):
+            used.append(u)
+    used.sort(key=lambda u: u[1])
+    for kind, a, b, form in used:
         taken.append((a, b))
         before, after = words_before(text, a), words_after(text, b)
         w1 = re.sub(r"[\d०-९]+", "0", before[-1]) if before else "^"
@@ -163,7 +188,7 @@ def read(text: str, names: dict[str, str], lexed: bool = True) -> list[Node]:
         toks = [(x.start(), x.end()) for x in _TOKEN_L.finditer(text, a, b)]
         while toks and text[toks[0][0] : toks[0][1]].lower() in TITLES:
             toks = toks[1:]
-        if len(toks) < 2:
+        if len(toks) < 2 or all(names.get(text[x:y].lower()) == "never" for x, y in toks):
             continue
         seq += 1
         nodes += name_nodes(text, toks, names, seq)
@@ -173,11 +198,11 @@ def read(text: str, names: dict[str, str], lexed: bool = True) -> list[Node]:
         want = set()
         for i, (a, b) in enumerate(toks):
             w = text[a:b]
-            if w in names:
+            if names.get(w, "never") != "never":
                 want.update(range(max(0, i - 2), i + 3))
             elif w in ("श्री", "श्रीमती", "सुश्री", "डॉ"):
                 want.update(range(i + 1, i + 4))
-            elif w == "नाम":
+            elif w in ("नाम", "नाव"):
                 want.update([*range(max(0, i - 3), i), *range(i + 1, i + 4)])
         if toks and toks[-1][1] >= len(text.rstrip()) - 1:
             line = text.rfind("\n", 0, toks[-1][0])
@@ -202,7 +227,7 @@ def read(text: str, names: dict[str, str], lexed: bool = True) -> list[Node]:
 def name_nodes(text: str, toks: list[tuple[int, int]], names: dict[str, str], seq: int) -> list[Node]:
     out = []
     low = [re.sub(r"[-‐¬\xad~]\n", "", text[a:b]).lower() for a, b in toks]
-    kinds = [names.get(w, "i" if len(w) == 1 else "-") for w in low]
+    kinds = ["i" if len(w) == 1 else names.get(w, "-") for w in low]
     first, last = toks[0][0], toks[-1][1]
     before, after = words_before(text, first), words_after(text, last)
     line_start = text.rfind("\n", 0, first) + 1
@@ -256,7 +281,7 @@ class Field:
         rng = np.random.default_rng(seed)
         idx = [np.array([self.index(f) for f in n.feats]) for n in nodes]
         y = np.array(labels)
-        weight = np.where(y == O, 0.35, 1.0)
+        weight = np.where(y != O, 1.0, [MISSED_NAME if n.kind == "name" else MISSED for n in nodes])
         mask = np.full((len(nodes), len(LABELS)), -30.0)
         for i, n in enumerate(nodes):
             mask[i, self.allowed(n)] = 0.0
@@ -338,6 +363,9 @@ class Field:
         return out
 
 
+LISTED = ("given", "surname", "seen", "i")
+
+
 def spans(text: str, nodes: list[Node], labels: np.ndarray) -> list[tuple[int, int, str]]:
     """(start, end, type) of the accepted values, 0-based; the form check comes here."""
     out: list[tuple[int, int, str]] = []
@@ -348,7 +376,16 @@ def spans(text: str, nodes: list[Node], labels: np.ndarray) -> list[tuple[int, i
             k = i
             while k + 1 < len(nodes) and labels[k + 1] == NAME and nodes[k + 1].seq == n.seq and not text[nodes[k].end : nodes[k + 1].start].replace(".", "").strip() and "\n\n" not in text[nodes[k].end : nodes[k + 1].start]:
                 k += 1
-            run = nodes[i : k + 1]
+            # the rest of a listed name beside what was accepted belongs to it
+            lo, hi = i, k
+            while lo > 0 and nodes[lo - 1].seq == n.seq and nodes[lo - 1].form in LISTED and not text[nodes[lo - 1].end : nodes[lo].start].strip(". "):
+                lo -= 1
+            while hi + 1 < len(nodes) and nodes[hi + 1].seq == n.seq and nodes[hi + 1].form in LISTED and not text[nodes[hi].end : nodes[hi + 1].start].strip(". "):
+                hi += 1
+            run = nodes[lo : hi + 1]
+            while len(run) > 1 and len(run[-1].key) == 1:
+                run = run[:-1]
+            k, n = hi, run[0]
             if len(run) >= 2 and any(len(x.key) > 1 for x in run):
                 out.append((n.start, run[-1].end, LABELS[NAME]))
             i = k + 1
@@ -392,7 +429,7 @@ def masked_nodes(text: str, tagged: str | None, names: dict[str, str]) -> tuple[
                 kind = tags[i][0] if len(tags) == len(parts) else None
                 found = read(piece, names)
                 if kind == NAME or kind is None and not found:
-                    toks = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_][\wऀ-ॿঀ-৿஀-௿@!(]*", piece) if m.group().lower() not in TITLES]
+                    toks = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_][\wऀ-ॿঀ-৿஀-௿@!(]*", piece) if m.group().lower() not in TITLES and not (m.group()[0].isascii() and m.group()[0].islower())]
                     if len(toks) >= 2 and kind == NAME:
                         found = name_nodes(piece, toks, names, 0)
                 for n in found:
@@ -424,6 +461,12 @@ def train(df: DataFrame, name_parts: DataFrame, text_col: str, tags_col: str, sa
     for w, n in seen.items():
         if n >= 2 and len(w) > 2 and w not in names and w not in TITLES:
             names[w] = "given" if n < 2 else "seen"
+    # words of title-case runs met often and never in a tagged name: runs of these alone are no candidates
+    common: dict[str, int] = {}
+    for r in rows:
+        for w in {w for m in _SEQ.finditer(r.t) for w in re.findall(r"[A-Z][A-Za-z]+", m.group())}:
+            common[w.lower()] = common.get(w.lower(), 0) + 1
+    names.update({w: "never" for w, n in common.items() if n >= 5 and w not in names and w not in seen})
     nodes, labels = [], []
     for r in rows:
         values: dict[str, int] = {value_key(v): k for k, v in tags_of(r.g) if k != O}
