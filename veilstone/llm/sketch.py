@@ -28,15 +28,49 @@ def cells(key: str, bits: int) -> tuple[int, int, int]:
 
 
 class Counts:
-    """Estimated counts: the least of a key's cells; never under the true count."""
+    """Estimated counts: the least of a key's cells, less what other keys put into a cell on average.
+
+    The correction keeps the estimate centred when the corpus outgrows the array (count-mean-min).
+    """
 
     def __init__(self, flat: np.ndarray, bits: int):
         self.flat, self.bits = array("q", flat.tolist()), bits
+        self.mean = float(flat.sum()) / DEPTH / (1 << bits)
 
     def __call__(self, key: str) -> int:
         a, b, c = cells(key, self.bits)
         f = self.flat
-        return min(f[a], f[b], f[c])
+        n = min(f[a], f[b], f[c])
+        return n if self.mean < 1 else max(0, round(n - self.mean))
+
+
+def key_hash(key: str) -> int:
+    """Signed 64-bit hash of a key."""
+    h = xxhash.xxh3_64_intdigest(key.encode("utf-8", "surrogatepass"))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def key_counts(df: DataFrame, column: str, make: Callable[[], Callable[[str], Iterable[str]]], expand: Callable[[dict[str, int]], dict[str, int]] | None = None) -> DataFrame:
+    """(key_hash, n): exact counts of all keys of a column, summed in each task before the shuffle; stays distributed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys_of, held = make(), Counter()
+
+        def out() -> pa.RecordBatch:
+            kept = expand(held) if expand else held
+            batch = pa.RecordBatch.from_arrays([pa.array([key_hash(k) for k in kept], pa.int64()), pa.array(list(kept.values()), pa.int64())], names=["key_hash", "n"])
+            held.clear()
+            return batch
+
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                if text:
+                    held.update(keys_of(text))
+            if len(held) > FLUSH:
+                yield out()
+        yield out()
+
+    return df.select(column).mapInArrow(run, "key_hash long, n long").groupBy("key_hash").agg(F.sum("n").alias("n"))
 
 
 def count_keys(

@@ -6,7 +6,7 @@ Two kinds of evidence, both from prefixes:
    task); a value that is a strict prefix of another is a prefix of its successor in this order. A value whose longer
    copy goes on inside its last word or sentence was cut.
 2. The same question for the last words of a value, whose longer copy need not survive: hashed prefixes of all word
-   triples of the corpus are counted in a count-min sketch. A value was cut if its last words elsewhere are only the
+   triples of the corpus are counted and joined with the last words. A value was cut if its last words elsewhere are only the
    beginning of longer ones, or always go on, and never end a sentence or paragraph.
 
 Values that end in a terminal mark are complete, unless the mark belongs to a word that never ends a paragraph.
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from veilstone.llm.batches import SENTINEL, flat_map, table
 from veilstone.llm.scan_noise import _PAGE
-from veilstone.llm.sketch import Counts, count_keys
+from veilstone.llm.sketch import key_counts, key_hash
 
-BITS = 20
+OFTEN = 30  # places that show that a word with its point never ends a paragraph
 RARE_END = 0.03  # last words that end a sentence in no more than this share of their places go on
 LEAST = 3  # places in which the last words must go on
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")
@@ -107,36 +107,53 @@ def context(words: list[str], i: int, wide: bool) -> str:
     return " ".join(["^"] * (n - len(before)) + before) + " "
 
 
-def corpus_counts(df: DataFrame, text_col: str) -> Counts:
-    return count_keys(df.filter(F.length(text_col) > 0).filter(~F.col(text_col).rlike(SENTINEL)), text_col, keys_maker, bits=BITS, expand=prefixes)
+def corpus_counts(df: DataFrame, text_col: str) -> DataFrame:
+    """(key_hash, n) of the word triples of all texts and their prefixes."""
+    return key_counts(df.filter(F.length(text_col) > 0).filter(~F.col(text_col).rlike(SENTINEL)), text_col, keys_maker, expand=prefixes)
 
 
-def tail_verdict(text: str, n: Counts) -> str:
-    """'cut', 'whole' or 'unknown' by the last words of the value and the counts of the corpus."""
+def tail_keys(text: str) -> list[tuple[str, str]]:
+    """(role, key) that decide on the last words of a value; role 'cut' needs no count, none means complete.
+
+    E and G: the last words end a sentence or go on; P: they are the beginning of longer ones; D and Q: the last
+    word with its point anywhere, and at the end of a paragraph.
+    """
     t = _PICTURE.sub("", text.rstrip()).rstrip()
     if not t:
-        return "whole"
+        return []
     if t[-1] == "�":
-        return "cut"
+        return [("cut", "")]
     part = _BLANK.split(t)[-1]
     words = split_words(part)
     if not words:
-        return "whole"
+        return []
     w = words[-1]
     if _FINAL.search(t):
         # only a mark of a word that is often met and never ends a paragraph leaves the sentence open
-        return "cut" if w[-1:] == "." and any(c.isalpha() for c in w) and n("D" + w) >= 30 and n("Q" + w) == 0 else "whole"
+        return [("D", "D" + w), ("Q", "Q" + w)] if w[-1:] == "." and any(c.isalpha() for c in w) else []
     wide = bool(_CJK.search(part))
     b = bare(w)
-    closed = len(b) < len(w)  # ends in a comma or colon: the last word itself is whole
     ctx = context(words, len(words) - 1, wide)
-    ends, goes = n("E" + ctx + b), n("G" + ctx + b)
-    longer = 0 if wide or closed else n("P" + ctx + b)
-    if ends > RARE_END * (ends + goes + longer) and ends > 0:
-        return "whole"
-    if longer + goes >= LEAST:
-        return "cut"
-    return "unknown"
+    out = [("E", "E" + ctx + b), ("G", "G" + ctx + b)]
+    if not wide and len(b) == len(w):  # after a comma or colon the last word itself is whole
+        out.append(("P", "P" + ctx + b))
+    return out
+
+
+def by_tail(df: DataFrame, counts: DataFrame) -> DataFrame:
+    """record_id of values cut by their last words; df: record_id, value."""
+    kind = df.schema["record_id"].dataType.simpleString()
+
+    def make():
+        return lambda key, text: ((key, role, key_hash(k)) for role, k in tail_keys(text))
+
+    asked = flat_map(df, make, f"record_id {kind}, role string, key_hash long").distinct()
+    n = F.coalesce("n", F.lit(0))
+    of = {r: F.sum(F.when(F.col("role") == r, n).otherwise(0)) for r in ("E", "G", "P", "D", "Q")}
+    sums = asked.join(counts, "key_hash", "left").groupBy("record_id").agg(*[c.alias(r) for r, c in of.items()], F.max(F.col("role") == "cut").alias("broken"))
+    ends, on = F.col("E"), F.col("G") + F.col("P")
+    is_cut = F.col("broken") | ((F.col("D") >= OFTEN) & (F.col("Q") == 0)) | ((on >= LEAST) & (ends <= RARE_END * (ends + on)))
+    return sums.filter(is_cut).select("record_id")
 
 
 def longer_copies(values: DataFrame, n_parts: int) -> DataFrame:
@@ -209,36 +226,23 @@ def find_cut(df: DataFrame, id_col: str, text_col: str, copies: list[tuple[DataF
     copies: further (table, column) pairs in which longer copies may survive; corpus: the column counted.
     """
     kind = df.schema[id_col].dataType.simpleString()
-    counts = corpus_counts(*corpus)
-    shared = df.sparkSession.sparkContext.broadcast(counts)
 
-    def level(c):
-        return F.trim(F.regexp_replace(F.regexp_replace(c, r"\s*\n\s*\n\s*", "\n"), r"[ \t\r]*\n(?!\n)[ \t]*|[ \t\r]+", " "))
+    def level_maker():
+        return lambda key, text, target: iter([(key, " ".join(text.split()), target)])
 
     usable = F.col("value").isNotNull() & (F.length("value") > 0) & ~F.col("value").rlike(SENTINEL)
-    own = df.select(F.col(id_col).alias("record_id"), level(F.col(text_col)).alias("value"), F.lit(True).alias("is_target"))
-    values = own
+    raw = df.select(F.col(id_col).alias("record_id"), F.col(text_col).alias("value")).filter(usable)
+    values = raw.withColumn("is_target", F.lit(True))
     for other, column in copies:
-        values = values.unionByName(other.select(F.lit(None).cast(kind).alias("record_id"), level(F.col(column)).alias("value"), F.lit(False).alias("is_target")))
-    copied = longer_copies(values.filter(usable), n_parts)
+        values = values.unionByName(other.select(F.lit(None).cast(kind).alias("record_id"), F.col(column).alias("value"), F.lit(False).alias("is_target")).filter(usable))
+    copied = longer_copies(flat_map(values, level_maker, f"record_id {kind}, value string, is_target boolean"), n_parts)
 
     def rest_maker():
         return lambda key, rest: iter([(key, goes_on(rest))])
 
     by_copy = flat_map(copied, rest_maker, f"record_id {kind}, verdict string").filter("verdict = 'cut'").select("record_id", F.lit("copy").alias("evidence"))
-
-    def tail_maker():
-        n = shared.value
-
-        def step(key, text):
-            if tail_verdict(text, n) == "cut":
-                yield (key, "tail")
-
-        return step
-
-    raw = df.select(F.col(id_col).alias("record_id"), F.col(text_col).alias("value")).filter(usable)
-    by_tail = flat_map(raw, tail_maker, f"record_id {kind}, evidence string")
-    return by_copy.unionByName(by_tail).distinct()
+    tails = by_tail(raw, corpus_counts(*corpus)).withColumn("evidence", F.lit("tail"))
+    return by_copy.unionByName(tails).distinct()
 
 
 def _find(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
