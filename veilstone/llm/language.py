@@ -289,7 +289,7 @@ def train(df: DataFrame, label_col: str, text_col: str, sample_rows: int = SAMPL
         F.col("label").isin(list(LABELS)) & ~F.col("text").rlike(SENTINEL)
     )
     taken: dict[int, list] = {}
-    for label, text in rows.limit(sample_rows).toLocalIterator(prefetchPartitions=False):
+    for label, text in rows.limit(sample_rows).collect():
         for words in segments(text)[:40]:
             c = reliable_class(words, label)
             if c is not None and len(taken.setdefault(c, [])) < PER_CLASS:
