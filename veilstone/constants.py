@@ -5,7 +5,14 @@ W = r"[\p{L}\p{N}_]"
 D = r"\p{Nd}"
 S_IN = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}"  # inside a class
 S = f"[{S_IN}]"
-B = f"(?:(?<={W})(?!{W})|(?<!{W})(?={W}))"
+
+
+def start(first: str) -> str:
+    """Word boundary before a word character of the class: the cheap class test comes before the look-behind."""
+    return f"(?={first})(?<!{W})"
+
+
+END = f"(?!{W})"  # word boundary after a word character
 
 IMAGE_EXTENSIONS = [".jpg", ".jpeg", ".png", ".bmp", ".webp", ".tiff"]
 DOCUMENT_EXTENSIONS = [".html", ".htm", ".pdf", ".docx", ".txt"]
@@ -34,20 +41,20 @@ DISPLAY_NAMES = {
 
 # Patterns in scan order, in Java syntax.
 PATTERNS = {
-    "Aadhaar": rf"{B}{D}{{4}}[{S_IN}\-]?{D}{{4}}[{S_IN}\-]?{D}{{4}}{B}",
-    "PAN": rf"{B}[A-Z]{{5}}{D}{{4}}[A-Z]{B}",
-    "Phone_Number": rf"(?:\+?91[{S_IN}\-]?)?[6-9]{D}{{9}}{B}|\+91[{S_IN}\-]?{D}{{2}}[{S_IN}\-]?{D}{{4}}[{S_IN}\-]?{D}{{4}}{B}",
+    "Aadhaar": rf"{start(D)}{D}{{4}}[{S_IN}\-]?{D}{{4}}[{S_IN}\-]?{D}{{4}}{END}",
+    "PAN": rf"{start('[A-Z]')}[A-Z]{{5}}{D}{{4}}[A-Z]{END}",
+    "Phone_Number": rf"(?:\+?91[{S_IN}\-]?)?[6-9]{D}{{9}}{END}|\+91[{S_IN}\-]?{D}{{2}}[{S_IN}\-]?{D}{{4}}[{S_IN}\-]?{D}{{4}}{END}",
     "Email": r"(?iu)[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}",
-    "Medical_UHID": rf"(?iu){B}(?:UHID|PMRN|IPD|EPISODE)[{S_IN}:.\-]*[A-Z]{{2,6}}[.\-]?{D}{{5,15}}{B}",
-    "Passport": rf"{B}[A-PR-WY][1-9]{D}{{7}}{B}",
-    "Voter_ID": rf"{B}[A-Z]{{3}}{D}{{7}}{B}",
-    "Vehicle_Number": rf"{B}[A-Z]{{2}}[{S_IN}\-]?{D}{{2}}[{S_IN}\-]?[A-Z]{{1,2}}[{S_IN}\-]?{D}{{4}}{B}",
-    "Bank_Account": rf"(?<!{D}){D}{{14,18}}(?!{D})",
-    "Credit_Card": rf"{B}(?:4{D}{{12}}(?:{D}{{3}})?|5[1-5]{D}{{14}}|3[47]{D}{{13}}){B}",
-    "DOB": rf"{B}(?:0?[1-9]|[12]{D}|3[01])[/\-.](?:0?[1-9]|1[0-2])[/\-.](?:19|20){D}{{2}}{B}",
-    "PPP_ID": rf"{B}(?:PPP|PPPID|FAMILYID|FID)[_\-:{S_IN}]*[A-Z0-9]{{6,10}}{B}",
+    "Medical_UHID": rf"(?iu){start('[UPIE]')}(?:UHID|PMRN|IPD|EPISODE)[{S_IN}:.\-]*[A-Z]{{2,6}}[.\-]?{D}{{5,15}}{END}",
+    "Passport": rf"{start('[A-Y]')}[A-PR-WY][1-9]{D}{{7}}{END}",
+    "Voter_ID": rf"{start('[A-Z]')}[A-Z]{{3}}{D}{{7}}{END}",
+    "Vehicle_Number": rf"{start('[A-Z]')}[A-Z]{{2}}[{S_IN}\-]?{D}{{2}}[{S_IN}\-]?[A-Z]{{1,2}}[{S_IN}\-]?{D}{{4}}{END}",
+    "Bank_Account": rf"(?={D})(?<!{D}){D}{{14,18}}(?!{D})",
+    "Credit_Card": rf"{start('[3-5]')}(?:4{D}{{12}}(?:{D}{{3}})?|5[1-5]{D}{{14}}|3[47]{D}{{13}}){END}",
+    "DOB": rf"{start(D)}(?:0?[1-9]|[12]{D}|3[01])[/\-.](?:0?[1-9]|1[0-2])[/\-.](?:19|20){D}{{2}}{END}",
+    "PPP_ID": rf"{start('[PF]')}(?:PPP|PPPID|FAMILYID|FID)[_\-:{S_IN}]*[A-Z0-9]{{6,10}}{END}",
 }
-TITLE_NAME = rf"(?iu){B}(?:Shri|Sri|Smt|Mr|Mrs|Ms|Miss|Dr|Prof|Kumar|Kumari)\.?(?:{S}*[A-Z]\.)*{S}*[A-Z][a-zA-Z]+(?:{S}+[A-Z][a-zA-Z]+)*{B}"
+TITLE_NAME = rf"(?iu){start('[SMDPK]')}(?:Shri|Sri|Smt|Mr|Mrs|Ms|Miss|Dr|Prof|Kumar|Kumari)\.?(?:{S}*[A-Z]\.)*{S}*[A-Z][a-zA-Z]+(?:{S}+[A-Z][a-zA-Z]+)*{END}"
 
 CITIES = sorted(
     [

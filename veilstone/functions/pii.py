@@ -13,6 +13,7 @@ from veilstone.constants import CITIES, DISPLAY_NAMES, EXCLUDED_ORGS, PATTERNS,
 from veilstone.functions.text import keep_first, let, normalise_digits, strip
 
 PRIORITY = ["Regex", "Presidio", "Piiranha", "GLiNER"]
+MUST_HAVE = {"Email": "@"}
 HIT = "array<struct<source:string,label:string,value:string>>"
 
 
@@ -22,7 +23,10 @@ def value_key(value: Column) -> Column:
 
 def label_hits(normal: Column, label: str) -> Column:
     """Values of one pattern in normalised text, first of each kind."""
-    found = F.transform(F.regexp_extract_all(normal, F.lit(PATTERNS[label]), F.lit(0)), strip)
+    every = F.regexp_extract_all(normal, F.lit(PATTERNS[label]), F.lit(0))
+    if label in MUST_HAVE:  # the sign is looked for first: the pattern would try every word
+        every = F.when(F.contains(normal, F.lit(MUST_HAVE[label])), every).otherwise(F.array().cast("array<string>"))
+    found = F.transform(every, strip)
     return let(F.filter(found, lambda v: ~F.upper(v).isin(EXCLUDED_ORGS)), lambda a: keep_first(a, value_key))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -51,11 +52,17 @@ def sql_normal(x: str) -> str:
     return rf"regexp_replace(array_to_string(list_transform({words}, {fix}), ''), '(\p{{Nd}}{{4}})[{S_IN}]?(\p{{Nd}}{{4}})[{S_IN}]?(\p{{Nd}}{{4}})', '\1 \2 \3', 'g')"
 
 
+def ascii_bounds(pattern: str) -> str:
+    """A Java pattern in RE2 syntax."""
+    pattern = re.sub(r"\(\?=(?:\[[^\]]*\]|\\p\{Nd\})\)" + re.escape(f"(?<!{K.W})"), r"\\b", pattern)
+    return pattern.replace(K.END, r"\b").replace("(?iu)", "(?i)").replace("'", "''")
+
+
 def sql_pattern(label: str) -> str:
     """The label's pattern in RE2 syntax; its word boundary is ASCII, which makes no difference on these texts."""
     if label == "Bank_Account":
         return ""
-    return K.PATTERNS[label].replace(K.B, r"\b").replace("(?iu)", "(?i)").replace("'", "''")
+    return ascii_bounds(K.PATTERNS[label])
 
 
 def sql_values(label: str, normal: str = "normal") -> str:
@@ -295,7 +302,7 @@ def chunk_rows(spark, d):
 
 @query(
     "title_names",
-    f"WITH {TEXTS}, n AS (SELECT record_id, regexp_extract_all(text, '{K.TITLE_NAME.replace(K.B, chr(92) + 'b').replace('(?iu)', '(?i)')}') AS l FROM texts) SELECT record_id, unnest(l) AS name, CAST(generate_subscripts(l, 1) AS BIGINT) AS ord FROM n",
+    f"WITH {TEXTS}, n AS (SELECT record_id, regexp_extract_all(text, '{ascii_bounds(K.TITLE_NAME)}') AS l FROM texts) SELECT record_id, unnest(l) AS name, CAST(generate_subscripts(l, 1) AS BIGINT) AS ord FROM n",
 )
 def title_name_rows(spark, d):
     found = texts(spark, d).select("record_id", F.posexplode(tx.title_names(F.col("text"))).alias("i", "name"))
@@ -393,7 +400,7 @@ def sheet3(spark, d):
     return report.sheet3(records(spark, d), ["record_id"])
 
 
-_TITLES = K.TITLE_NAME.replace(K.B, "\\b").replace("(?iu)", "(?i)")
+_TITLES = ascii_bounds(K.TITLE_NAME)
 _MODELS2 = ", ".join(f"'Load Failed' AS {m.lower()}_predicted_type, 'N/A' AS {m.lower()}_extracted_text, 'N/A' AS {m.lower()}_missed_entities" for m in K.NER_MODELS)
 
 
