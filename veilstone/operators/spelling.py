@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 MAX_TERMS = 500_000
 PREFIX = 7
@@ -89,7 +90,7 @@ def load_terms(dictionary: DataFrame) -> dict[str, int]:
 def correct(df: DataFrame, text_col: str, dictionary: DataFrame, out_col: str = "corrected_text") -> DataFrame:
     """df with out_col added."""
     shared = df.sparkSession.sparkContext.broadcast(load_terms(dictionary))
-    schema = df.withColumn(out_col, F.lit("")).schema
+    schema = StructType([*df.schema.fields, StructField(out_col, StringType())])
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
