@@ -256,11 +256,11 @@ def p5_found(spark, sf_dir: str) -> DataFrame:
 
 
 def p5_offices(spark, sf_dir: str) -> DataFrame:
-    """office_code, n_records, n_cut, cut_share."""
+    """office_code, n_records, n_cut, cut_share; the share is null for an office all of whose record ids are null."""
     sheet, found = _find(spark, sf_dir)
     records = sheet.select("record_id", "office_code").distinct().join(found.select("record_id").distinct().withColumn("cut", F.lit(1)), "record_id", "left")
     out = records.groupBy("office_code").agg(F.countDistinct("record_id").alias("n_records"), F.countDistinct(F.when(F.col("cut") == 1, F.col("record_id"))).alias("n_cut"))
-    return out.withColumn("cut_share", F.col("n_cut") / F.col("n_records"))
+    return out.withColumn("cut_share", F.try_divide(F.col("n_cut"), F.col("n_records")))
 
 
 QUERIES = {"p5_found": p5_found, "p5_offices": p5_offices}
