@@ -332,11 +332,11 @@ def missed_entities(spark, d):
             regexp_split_to_array({sql_strip('text')}, '[{S_IN}]+') AS l FROM texts),
         u AS (SELECT record_id, unnest(l) AS w, generate_subscripts(l, 1) AS pos FROM w WHERE NOT kept),
         d AS (SELECT term, max(term_count) AS n FROM spell_dictionary WHERE term IS NOT NULL GROUP BY term),
-        v AS (SELECT DISTINCT w FROM u WHERE NOT (regexp_full_match(w, '[A-Z]{{2,}}') OR regexp_full_match(w, '[\p{{Nd}}²³¹]*([^\p{{L}}\p{{N}}_][\p{{Nd}}]*)*') OR contains(w, '@') OR length(w) <= 2)),
-        p AS (SELECT w, term, n FROM v JOIN d ON abs(length(w) - length(term)) <= 2 AND damerau_levenshtein(w, term) <= 2),
-        o AS (SELECT w, term, n, least(levenshtein(w, term), coalesce(list_min(flatten(list_transform(range(1, length(w)), lambda i: list_transform([i - 1, i, i + 1], lambda j:
-            CASE WHEN j >= 1 AND substr(term, j, 2) = substr(w, i + 1, 1) || substr(w, i, 1)
-                THEN 1 + damerau_levenshtein(substr(w, 1, i - 1), substr(term, 1, j - 1)) + damerau_levenshtein(substr(w, i + 2), substr(term, j + 2)) ELSE 9 END)))), 9)) AS e FROM p),
+        v AS (SELECT DISTINCT w, regexp_replace(w, '[^\x00-\x7f]', chr(127), 'g') AS x FROM u WHERE NOT (regexp_full_match(w, '[A-Z]{{2,}}') OR regexp_full_match(w, '[\p{{Nd}}²³¹]*([^\p{{L}}\p{{N}}_][\p{{Nd}}]*)*') OR contains(w, '@') OR length(w) <= 2)),
+        p AS (SELECT w, x, term, n FROM v JOIN d ON abs(length(w) - length(term)) <= 2 AND damerau_levenshtein(x, term) <= 2),
+        o AS (SELECT w, term, n, least(levenshtein(x, term), coalesce(list_min(flatten(list_transform(range(1, length(x)), lambda i: list_transform([i - 1, i, i + 1], lambda j:
+            CASE WHEN j >= 1 AND substr(term, j, 2) = substr(x, i + 1, 1) || substr(x, i, 1)
+                THEN 1 + damerau_levenshtein(substr(x, 1, i - 1), substr(term, 1, j - 1)) + damerau_levenshtein(substr(x, i + 2), substr(term, j + 2)) ELSE 9 END)))), 9)) AS e FROM p),
         c AS (SELECT w, term, row_number() OVER (PARTITION BY w ORDER BY e, n DESC, term) AS rn FROM o WHERE e <= 2),
         g AS (SELECT record_id, string_agg(coalesce(c.term, u.w), ' ' ORDER BY pos) AS corrected FROM u LEFT JOIN c ON c.w = u.w AND c.rn = 1 GROUP BY record_id)
         SELECT w.record_id, CASE WHEN w.kept THEN w.text ELSE g.corrected END AS corrected FROM w LEFT JOIN g ON g.record_id = w.record_id WHERE w.text IS NOT NULL""",
