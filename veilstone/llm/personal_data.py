@@ -32,6 +32,7 @@ SAMPLE_ROWS = 2500  # rows read for fitting at most
 SIZE = 1 << 15
 MISSED, MISSED_NAME = 0.02, 0.08  # weight of untagged units and name words: detectors miss many
 CHAIN, SKIP = 1.2, 1.0  # potentials of equal labels along chain and skip edges
+LISTED_PAIR = 2.0  # potential of words of a run with two listed name words, or with one and an initial
 ROUNDS = 4  # rounds of message passing
 MAX_SKIP = 1  # each node is joined to the last one like it before, so edges grow with the nodes only
 
@@ -106,6 +107,10 @@ def forms_of(raw: str) -> tuple[str, str]:
     return "", digits
 
 
+LISTED = ("given", "surname", "seen", "i")
+WITH_INITIAL = {"k|r=i|given", "k|r=i|surname", "k|r=i|seen"}
+
+
 class Node:
     __slots__ = ("kind", "start", "end", "key", "feats", "seq", "form")
 
@@ -140,6 +145,8 @@ def units(text: str) -> Iterator[tuple[str, int, int, str]]:
         a, b = m.span()
         if text[a].isdigit() and text[b - 1].islower():
             a -= 5  # a tax number in small letters
+        if m := re.match(r"(?:ID|NO)[-\s]", text[a:b]):  # the end of the words before it
+            a += m.end()
         form, _ = forms_of(text[a:b])
         if form:
             yield "num", a, b, form
@@ -334,6 +341,9 @@ class Field:
                         edges.append((at + same, at + i))
                         strength.append(SKIP)
                     seen[n.kind, n.key] = i
+            for i, n in enumerate(d):
+                if n.kind == "name" and n.form in LISTED and (n.feats[10].startswith("known=2") or n.feats[2].startswith("k|l=i") or n.feats[3] in WITH_INITIAL):
+                    unary[at + i, NAME] += LISTED_PAIR
             for i, lab in (extra[k] if extra else {}).items():
                 if mask[at + i, lab] == 0:
                     unary[at + i, lab] += 4.0
@@ -363,9 +373,6 @@ class Field:
         return out
 
 
-LISTED = ("given", "surname", "seen", "i")
-
-
 def spans(text: str, nodes: list[Node], labels: np.ndarray) -> list[tuple[int, int, str]]:
     """(start, end, type) of the accepted values, 0-based; the form check comes here."""
     out: list[tuple[int, int, str]] = []

@@ -31,6 +31,7 @@ CLOSERS = "\"”’»」』)\\]）*_'"
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")
 _MARK = re.compile(rf"(?:[.!?।॥؟۔…]+[{CLOSERS}]*(?=\s|$)|[。！？।॥۔؟][。！？।॥۔؟!?]*[{CLOSERS}]*)")
 _TOKEN = re.compile(r"\S+$")
+_DIGITS = re.compile(r"\d+")
 _NEXT = re.compile(r"\s*[\"“«「『(\[（'‘*_]*(\S+)")
 
 
@@ -81,6 +82,11 @@ def shape(c: str) -> str:
     return "sign"
 
 
+def token_key(word: str, mark: str) -> str:
+    """A token with its mark, digits levelled."""
+    return _DIGITS.sub("0", word.lower()) + mark
+
+
 class Candidate:
     __slots__ = ("start", "end", "mark", "token", "next", "features", "last")
 
@@ -104,7 +110,7 @@ def candidates(text: str, a: int, b: int, ends: Counter, total: Counter) -> Iter
         nxt = _NEXT.match(text, e, b)
         following = nxt.group(1) if nxt else ""
         c.token, c.next, c.last = word, following, e >= b
-        key = word.lower() + c.mark
+        key = token_key(word, c.mark)
         n, k = total[key], ends[key]
         rate = "new" if n < 3 else "never" if k == 0 else "rare" if k * 20 < n else "often"
         then, before = shape(following[:1]), shape(word[-1:])
@@ -148,7 +154,7 @@ class SentenceModel:
             for a, b in paragraphs(t):
                 for c in candidates(t, a, b, self.ends, self.total):
                     # where a lower-case word or number follows, the token shows itself as an abbreviation
-                    key = c.token.lower() + c.mark
+                    key = token_key(c.token, c.mark)
                     self.total[key] += 1
                     self.ends[key] += c.last
         rows, y = [], []
@@ -158,7 +164,7 @@ class SentenceModel:
                 for c in cs:
                     label = reliable(c)
                     if label is None:
-                        key = c.token.lower() + c.mark
+                        key = token_key(c.token, c.mark)
                         n, k = self.total[key], self.ends[key]
                         # a token seen often that never ends a paragraph doesn't end a sentence; one that does may
                         dotted = "." in c.token and len(c.token) <= 6
