@@ -52,7 +52,12 @@ def run_letters(words: Column, n: Column) -> Column:
     """Letters of words inside runs of n words that stood earlier."""
 
     def counted(w: Column) -> Column:
-        runs = F.array_sort(F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.struct(F.xxhash64(F.slice(w, i, n)).alias("h"), i.alias("i"))))
+        hashes = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(F.slice(w, i, n)))
+        # most texts repeat no run: the set of hashes tells before anything is sorted
+        return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), spans(w, h)).otherwise(0))
+
+    def spans(w: Column, h: Column) -> Column:
+        runs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), (i + 1).alias("i"))))
         start = let(
             runs,
             lambda r: F.array_sort(
@@ -72,7 +77,7 @@ def run_letters(words: Column, n: Column) -> Column:
                 (state["letters"] + F.length(F.array_join(F.slice(w, first, i + n - first), ""))).alias("letters"),
             )
 
-        return F.when(F.size(runs) > 1, F.aggregate(start, none, add)["letters"]).otherwise(0)
+        return F.aggregate(start, none, add)["letters"]
 
     return F.when(F.size(words) > n, let(words, counted)).otherwise(0)
 
