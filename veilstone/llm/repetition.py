@@ -44,8 +44,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def words_of(text: Column) -> Column:
     """Normalised text: words of letters and marks, each followed by one space; unspaced characters stand alone."""
     letters = F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " ")
-    apart = F.regexp_replace(letters, f"([{UNSPACED}])", " $1 ")
-    return F.concat(F.trim(F.regexp_replace(apart, " +", " ")), F.lit(" "))
+    apart = let(letters, lambda x: F.when(x.rlike(f"[{UNSPACED}]"), F.regexp_replace(F.regexp_replace(x, f"([{UNSPACED}])", " $1 "), " +", " ")).otherwise(x))
+    return F.concat(F.trim(apart), F.lit(" "))
+
+
+def letters_in(words: Column) -> Column:
+    return F.length(F.replace(words, F.lit(" "), F.lit("")))
 
 
 def run_letters(words: Column, n: Column) -> Column:
@@ -87,16 +91,16 @@ def measures(text: Column) -> dict[str, Column]:
     text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.transform(F.split(text, r"\n"), lambda x: F.lower(F.regexp_replace(x, r"[^\p{L}\p{M}]+", ""))), lambda x: F.length(x) > 0)
     normal = words_of(text)
-    n_letters = F.length(F.regexp_replace(normal, " ", ""))
+    n_letters = letters_in(normal)
 
     def shares(s: Column) -> Column:
-        total = F.length(F.regexp_replace(s, " ", ""))
+        total = letters_in(s)
         # blocks of up to six words that repeat at once; the first stays
         once = F.regexp_replace(s, r"(?<![^ ])((?:[^ ]++ ){1,6}?)\1+", "$1")
 
         def rest(o: Column) -> Column:
-            kept = F.length(F.regexp_replace(o, " ", ""))
-            unspaced = F.length(F.regexp_replace(o, f"[^{UNSPACED}]", ""))
+            kept = letters_in(o)
+            unspaced = F.when(o.rlike(f"[{UNSPACED}]"), F.length(F.regexp_replace(o, f"[^{UNSPACED}]", ""))).otherwise(0)
             n = F.when(unspaced * 2 > kept, F.lit(RUN_CHARS)).otherwise(F.lit(RUN_WORDS))
             repeated = let(n, lambda k: run_letters(F.split(F.trim(o), " "), k))
             return F.when(total > 0, (total - kept + repeated) / total).otherwise(F.lit(0.0))
