@@ -189,6 +189,16 @@ def test_personal_data(spark):
     assert hidden[1].full_extracted_text.startswith("My name is [PERSON_NAME]. Mob: [PHONE].") and "CMP/2024/93006" in hidden[1].full_extracted_text and hidden[2].full_extracted_text is None
 
 
+NUMBERS = {
+    "9876543210 9123456789": ["9876543210", "9123456789"], "9876543210\n9123456789\n9876501234": ["9876543210", "9123456789", "9876501234"], "9876543210\n\n3": ["9876543210"], "9876543210\n\n12": ["9876543210"],
+    "+91 98 76 54 32 10": ["+91 98 76 54 32 10"], "98765 43210 98765 43211": ["98765 43210", "98765 43211"], "1234 5678 9012 98765 43210": ["1234 5678 9012", "98765 43210"], "98765\n\n43210": ["98765\n\n43210"], "1234-5678-9012-3456-7890-1234": [],
+}
+
+
+def test_numbers_side_by_side():
+    assert {t: [t[a:b] for _, a, b, _ in personal_data.units(t)] for t in NUMBERS} == NUMBERS
+
+
 TABLES = ["sheet2", "sheet3", "documents", "sentence_check", "name_parts"]
 
 

@@ -52,11 +52,12 @@ _HOUSE = re.compile(
 )
 _BARE_HOUSE = re.compile(rf"[{_DIGIT}](?<![\w#/.,:-].)(?<!\$\s.)[{_DIGIT}]{{0,3}}[A-Z]?(?:[-/][{_DIGIT}]+)?,\s+(?:[A-Z][a-z]+\s+){{1,3}}(?:{_WAYS})\b")
 _ADDRESS_REST = re.compile(rf"(?:,?\s+(?:[A-Z][A-Za-z]*\b|[{_DIGIT}]{{1,6}}\b(?![/.]\d)))*|(?:[^।.\n]{{0,60}}?(?=\s+(?:है|आहे)\b|।))")
-_NUMBER = re.compile(rf"[(+{_C}](?<![\w@/.].)[+{_C}]*(?:[-\s)]{{1,2}}(?=[({_C}])[({_C}]+){{0,4}}(?![\w@]|[/.][{_DIGIT}])")
+_NUMBER = re.compile(rf"[(+{_C}](?<![\w@/.].)[+{_C}]*(?:[-\s)]{{1,2}}(?=[({_C}])[({_C}]+)*(?![\w@]|[/.][{_DIGIT}])")
 _LETTERED = re.compile(
     rf"[A-Z](?<![A-Za-z0-9@/.].)(?:[A-Z]{{4}}\s?[{_C}]{{4}}\s?[A-Z]\b|[A-Z][-\s]?[0-9OI]{{2}}[-\s]?[A-Z]{{1,3}}[-\s]?[0-9OISB]{{4}}\b|[A-Z]{{0,5}}-?[0-9][0-9OIl]{{5,14}}\b)(?![@/])"
     rf"|[0-9I](?<![A-Za-z0-9@/.].)[A-Z]{{3}}[0-9OIB]{{4}}\b|[0-9](?<=\b[a-z]{{5}}.)[0-9]{{3}}[a-z]\b"
 )
+_GROUP = re.compile(rf"[(+{_C}]+")
 _TOKEN_L = re.compile(r"[A-Z](?:[A-Za-z@0159!(]*[A-Za-z])?(?:[-‐¬\xad~]\n[a-z]+)?")
 _SEQ = re.compile(r"[A-Z](?<![\w@.+\\<\-].)(?:\.|(?:[A-Za-z@0159!(]*[A-Za-z])?(?:[-‐¬\xad~]\n[a-z]+)?\.?)(?:[ \t]*\n?[ \t]*(?:(?<=\.)|(?<=\s))[A-Z](?:[A-Za-z@0159!(]*[A-Za-z])?(?:[-‐¬\xad~]\n[a-z]+)?\.?)*(?![\w@+])")
 _DEVA = re.compile(r"[ऀ-ॣॱ-ॿ]+")
@@ -129,6 +130,57 @@ def words_after(text: str, at: int, n: int = 2) -> list[str]:
     return [w.lower() for w in text[at : at + 28].split()[:n]]
 
 
+ALONE = {"phone10", "phone0", "twelve", "twelve91"}  # forms of one group that is a value by itself
+MOST = 18  # digits of the longest form
+
+
+def numbers(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
+    """(start, end, form) of the numbers in groups that stand side by side.
+
+    Of all ways to part the groups, the one that leaves the fewest groups over, then the one with the fewest numbers.
+    A group that is a number by itself is joined with others only under a prefix, groups of two paragraphs only if
+    no part of them is a number, and a hyphen is cut only beside a number of one group.
+    """
+    groups = [g.span() for g in _GROUP.finditer(text, start, end)]
+    n = len(groups)
+    single = [forms_of(text[a:b])[0] for a, b in groups]
+    seps = ["", *(text[x[1] : y[0]] for x, y in zip(groups, groups[1:])), ""]
+    # best[i]: (groups left over, numbers, length of the piece at i, its form) from group i on
+    best: list[tuple[int, int, int, str]] = [(0, 0, 0, "")] * (n + 1)
+    inner: set[tuple[int, int]] = set()  # pieces with a form inside one paragraph
+    for i in range(n - 1, -1, -1):
+        best[i] = (best[i + 1][0] + 1, best[i + 1][1], 0, "")
+        size, apart, alone = 0, False, False
+        for j in range(i, n):
+            a, b = groups[i][0], groups[j][1]
+            size += sum(c not in "(+" for c in text[groups[j][0] : b])
+            if size > MOST:
+                break
+            apart = apart or j > i and seps[j].count("\n") > 1
+            alone = alone or single[j] in ALONE
+            form = single[i] if i == j else forms_of(text[a:b])[0]
+            if not form:
+                continue
+            if j > i and alone and not (form.startswith("phone") or form == "twelve91"):
+                continue
+            if ("-" in seps[i] or "-" in seps[j + 1]) and (i < j or form not in ALONE):
+                continue
+            if apart and any((x, y) in inner for x in range(i, j + 1) for y in range(x, j + 1)):
+                continue
+            if not apart:
+                inner.add((i, j))
+            got = (best[j + 1][0], best[j + 1][1] + 1, j + 1 - i, form)
+            if got[:2] < best[i][:2] or got[:2] == best[i][:2] and got[2] > best[i][2]:
+                best[i] = got
+    out, i = [], 0
+    while i < n:
+        k = best[i][2]
+        if k:
+            out.append((groups[i][0], groups[i + k - 1][1], best[i][3]))
+        i += max(1, k)
+    return out
+
+
 def units(text: str) -> Iterator[tuple[str, int, int, str]]:
     """(kind, start, end, form) of what has the form of an e-mail, address or number; earlier kinds take precedence."""
     if "@" in text:
@@ -153,15 +205,7 @@ def units(text: str) -> Iterator[tuple[str, int, int, str]]:
     for m in _NUMBER.finditer(text):
         if m.end() - m.start() < 9:
             continue
-        a, b = m.span()
-        form, _ = forms_of(m.group())
-        if not form and " " in m.group():  # several numbers side by side
-            for s in re.finditer(r"\S+(?:\s\S+){0,3}", m.group()):
-                form, _ = forms_of(s.group())
-                if form:
-                    a, b = a + s.start(), a + s.end()
-                    break
-        if form:
+        for a, b, form in numbers(text, *m.span()):
             if text[a] == "(" and ")" not in text[a:b]:
                 a += 1
             yield "num", a, b, form
