@@ -120,6 +120,22 @@ def test_markup(spark):
     assert clean[0] == "x bold y" and clean[2].startswith("Head") and clean[98] is None and clean[99] == "" and clean[10] == "Income is < 15000 and > 1000"
 
 
+def test_long_markup():
+    words, address = ("word and more text here " * 30).strip(), "x" * 700
+    terms = "x_{1} + " * 60
+    long = {
+        "html": [f'see <div style="{"color: red; " * 60}">here</div> now', f'see <img src="data:image/png;base64,{address}"> now'],
+        "wiki": [f"a {{{{box|{words}}}}} b", f"it is [[{words}]] here", f"it is '''{words}''' here"],
+        "markdown": [f"see {a}{words}{a} now" for a in ("**", "__", "*", "_", "~~", "`")] + [f"see [link](https://a.example/{address}) now", f"see [{words}](https://a.example/x) now", f"see ![pic](img_{address}.png) now"],
+        "latex": [f"so ${terms} y$ holds", f"so \\({terms} y\\) holds", f"so \\[{terms} y\\] holds"],
+    }
+    for lang, texts in long.items():
+        for text, (nodes, label) in zip(texts, markup.judge(texts, markup.fitted())):
+            assert set(markup.language_of(nodes, label, text)) - {""} == {lang} and label.all() and text[nodes[0].start] not in markup.clean(text, nodes, label), text[:20]
+    apart = "it is **one\n\ntwo** and \\(" + "word " * 90 + "\n\n" + "word\\) here"
+    assert {n.kind for n in markup.parse(apart)} <= {"b_sign", "l_cmd", "l_esc"}
+
+
 def test_boosted_trees_learn_an_interaction():
     rng = np.random.default_rng(1)
     x = rng.random((800, 4))

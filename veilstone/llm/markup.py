@@ -41,11 +41,13 @@ LATEX_NAMES = set(
     "section subsection subsubsection chapter paragraph begin end item textbf textit texttt textsc textrm emph underline frac dfrac tfrac sqrt sum prod int lim times cdot div pm leq geq neq le ge ne approx infty alpha beta gamma delta epsilon theta lambda mu pi sigma omega Delta Omega left right label ref eqref cite footnote caption includegraphics centering hline toprule midrule bottomrule multicolumn newline newpage clearpage noindent indent hfill vspace hspace quad qquad today title author date maketitle documentclass usepackage tableofcontents bibliography item url href text mathrm mathbf mathit operatorname overline hat bar vec dots ldots cdots par large Large small tiny bf it rm em verb LaTeX TeX textwidth linewidth input include in to rightarrow leftarrow forall exists partial nabla cup cap subset max min log ln sin cos tan".split()
 )
 
+# Spans end at a closing sign or a blank line, however long they are: where a class of characters doesn't end them, it
+# is read without going back, and stops at the next opener, so that a text is read in linear time.
 # every node starts with a sign, or with blanks before one at a line's start; ordinary characters fail at once
 _NODE = re.compile(
     r"""(?:(?=[-<>&`~{|=!\#\[\\$*+:;'_])|(?<![^\n])(?=[ \t]+[-{|!=\#:*+;>`~_]))"""
     r"""(?:(?P<h_comment><!--.*?-->)"""
-    r"""|(?P<h_tag></?(?P<name>[A-Za-z][A-Za-z0-9]*)(?P<attrs>(?:\s[^<>]{0,300})?)/?>)"""
+    r"""|(?P<h_tag></?(?P<name>[A-Za-z][A-Za-z0-9]*)(?P<attrs>(?:\s[^<>]{0,300}|\s(?:[^<>\n]|\n(?![ \t]*\n))*)?)/?>)"""
     r"""|(?P<h_entity>&(?:(?P<ent>[A-Za-z][A-Za-z0-9]{1,8})|\#[0-9]{2,6}|\#x[0-9A-Fa-f]{2,6});)"""
     r"""|(?P<m_fence>^[ ]{0,3}(?P<fence>```+|~~~+)[^\n`~]*$)"""
     r"""|(?P<w_table>^[ \t]*\{\|[^\n]*$|^[ \t]*\|\}[ \t]*$)"""
@@ -55,22 +57,22 @@ _NODE = re.compile(
     r"""|(?P<m_heading>^[ ]{0,3}\#{1,6}[ \t]+\S[^\n]*$)"""
     r"""|(?P<m_sep>^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*$)"""
     r"""|(?P<m_row>^[ \t]*\|[^\n|]+(?:\|[^\n|]*)*\|[ \t]*$)"""
-    r"""|(?P<w_link>\[\[[^\[\]\n]{1,300}\]\])"""
-    r"""|(?P<w_call>\{\{[^{}]{1,500}\}\})"""
-    r"""|(?P<w_quote>'{2,5}(?=[^'\s])[^'\n]{1,200}?(?<=[^'\s])'{2,5})"""
+    r"""|(?P<w_link>\[\[[^\[\]\n]++\]\])"""
+    r"""|(?P<w_call>\{\{[^{}]++\}\})"""
+    r"""|(?P<w_quote>'{2,5}(?=[^'\s])[^'\n]+?(?<=[^'\s])'{2,5})"""
     r"""|(?P<l_env>\\(?:begin|end)\{(?P<env>[A-Za-z]+)\*?\}(?:\{[^{}\n]*\})?)"""
-    r"""|(?P<l_math>\\\(.{1,300}?\\\)|\\\[.{1,300}?\\\]|\$\$?(?=[^\s$])(?P<math>[^$\n]{1,120}?)(?<=[^\s$])\$\$?)"""
+    r"""|(?P<l_math>\\\((?:.{1,300}?|(?:(?!\\[()]|\n[ \t]*\n).)++)\\\)|\\\[(?:.{1,300}?|(?:(?!\\\]|(?<!\\)\\\[|\n[ \t]*\n).)++)\\\]|\$\$?(?=[^\s$])(?P<math>[^$\n]+?)(?<=[^\s$])\$\$?)"""
     r"""|(?P<l_cmd>\\(?P<cmd>[A-Za-z]+)\*?(?:\[[^\]\n]*\])?(?:\{[^{}\n]*\})*)"""
     r"""|(?P<l_esc>\\[%&_\#\$\{\}]|\\\\(?=[ \t]*$)|(?<=\w)~(?=\\))"""
-    r"""|(?P<m_image>!\[[^\]\n]{0,200}\]\([^)\n]{1,300}\))"""
-    r"""|(?P<m_link>\[[^\]\n]{1,200}\]\([^)\s]{1,300}\))"""
-    r"""|(?P<m_strong>\*\*(?=[^\s*])[^\n*]{1,200}?(?<=[^\s*])\*\*|(?<![\w_])__(?=[^\s_])[^\n_]{1,200}?(?<=[^\s_])__(?![\w_]))"""
-    r"""|(?P<m_strike>~~(?=[^\s~])[^\n~]{1,200}?(?<=[^\s~])~~)"""
-    r"""|(?P<m_code>`(?=[^\s`])[^`\n]{1,200}`)"""
+    r"""|(?P<m_image>!\[(?:[^\]\n]{0,200}|[^\[\]\n]*+)\]\((?:[^)\n]{1,300}|(?:[^)\n\]]|\](?!\())++)\))"""
+    r"""|(?P<m_link>\[(?:[^\]\n]{1,200}|[^\[\]\n]++)\]\((?:[^)\s]{1,300}|(?:[^)\s\]]|\](?!\())++)\))"""
+    r"""|(?P<m_strong>\*\*(?=[^\s*])[^\n*]+?(?<=[^\s*])\*\*|(?<![\w_])__(?=[^\s_])[^\n_]+?(?<=[^\s_])__(?![\w_]))"""
+    r"""|(?P<m_strike>~~(?=[^\s~])[^\n~]+?(?<=[^\s~])~~)"""
+    r"""|(?P<m_code>`(?=[^\s`])[^`\n]++`)"""
     r"""|(?P<m_bullet>^[ \t]*[-*+]{1,3}[ \t]+(?=\S))"""
     r"""|(?P<w_indent>^[ \t]*[:;*]+[ \t]*(?=\[\[|'''|\{\{))"""
     r"""|(?P<m_quote>^[ ]{0,3}>[ \t]?(?=\S))"""
-    r"""|(?P<m_em>(?<![\w*\\])\*(?=[^\s*])[^\n*]{1,100}?(?<=[^\s*])\*(?![\w*])|(?<![\w_\\])_(?=[^\s_])[^\n_]{1,100}?(?<=[^\s_])_(?![\w_]))"""
+    r"""|(?P<m_em>(?<![\w*\\])\*(?=[^\s*])[^\n*]+?(?<=[^\s*])\*(?![\w*])|(?<![\w_\\])_(?=[^\s_])[^\n_]+?(?<=[^\s_])_(?![\w_]))"""
     r"""|(?P<m_rule>^[ ]{0,3}(?:\*[ \t]*){3,}$|^[ ]{0,3}(?:_[ \t]*){3,}$)"""
     r"""|(?P<b_brace>\{[^{}\n]{1,80}\})|(?P<b_angle><[^<>]{1,60}>)|(?P<b_sign>[<>&*_\#`|$~=](?=[ \t\n])))""",
     re.M | re.X | re.S,
