@@ -180,6 +180,21 @@ def test_scan_noise(spark):
     assert [list(got[i].noise) for i in (0, 101, 102, 103)] == [[]] * 4 and got[102].repaired_text is None
 
 
+def test_scan_noise_counts_rare_words_of_large_corpora(spark):
+    rare = "the registrar returned the certificate before noon"
+    filler = " ".join(["office letter clerk answer"] * 500)
+    df = spark.createDataFrame([(i, rare) for i in range(3)] + [(10, rare.replace("certificate", "ccrtificate")), (11, "noon returned the regis-\ntrar")] + [(100 + i, filler) for i in range(300)], "id int, t string")
+    got = {r.id: r for r in scan_noise.analyse(df, "id", "t", scan_noise.language_model(df, "t")).collect()}
+    assert got[10].noise == ["misread"] and got[10].repaired_text == rare and got[0].noise == [] and got[100].noise == []
+    assert got[11].noise == ["hyphen_break"] and got[11].repaired_text == "noon returned the registrar"
+
+
+def test_words_that_may_be_read_for_each_other_share_a_form(spark):
+    pairs = [(read, true) for read, ways in scan_noise.CONFUSED.items() for true in ways]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert df.filter(scan_noise.same_form(F.col("a")) != scan_noise.same_form(F.col("b"))).count() == 0
+
+
 def test_truncation(spark):
     full = ["Dear Sir,\n\nThe clerk returned the form without giving any reason. Nobody took responsibility.\n\nRegards,\n\nAsha"] * 8
     cut = {1: "Dear Sir, The clerk returned the form without giv", 2: "Some other story. The clerk returned the form without", 3: "The clerk returned the form without giving any reason", 4: "Nobody took responsibility. Regards, Asha", 5: None, 6: "", 7: "[EMPTY: a.txt]", 8: "broken \ufffd"}

@@ -1,8 +1,10 @@
 """Problem 4: noise in text from scanned pages.
 
 Noisy channel: every word is read as a true word times the probability that its characters were confused; the
-language model is the corpus itself, its word and word-pair counts held in a count-min sketch over all rows. Each
-line is decoded by Viterbi over the candidate words. A word counts as misread if the decoded word differs from it.
+language model is the corpus itself, its exact word and word-pair counts over all rows. These stay distributed: words
+that can be read for each other share a form (see CLASSES) and meet under it, which gives every word its candidates;
+these are joined with the texts that hold the word, and the counts that a text's lines ask for are joined with it.
+Each line is decoded by Viterbi over the candidate words. A word counts as misread if the decoded word differs from it.
 Own occurrences are left out of a word's count, so the rule is the same at every corpus size.
 
 Lines that hold only a page number, title lines repeated over the pages and words parted at line ends are found by
@@ -19,11 +21,12 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilstone.llm.batches import SENTINEL, flat_map, table
-from veilstone.llm.sketch import Counts, count_keys
+from veilstone.llm.sketch import key_counts, key_hash
 
 # Characters a scanner confuses, read form -> true forms.
 CONFUSED = {
@@ -31,6 +34,9 @@ CONFUSED = {
     "rn": ["m"], "vv": ["w"], "li": ["h"], "nn": ["m"], "q": ["g"],
 }
 SIGNS = set("0156789!|@$(")
+# Each read form and its true forms come to one form if these are replaced: 'rn' and 'm' both to 'nn'.
+CLASSES = ("i1!|e(rf5$90@", "llllccntssgoa"), [("q", "g"), ("u", "ll"), ("h", "ll"), ("b", "ll"), ("6", "ll"), ("8", "ll"), ("d", "cl"), ("m", "nn"), ("w", "vv")]
+_CONFUSABLE = re.compile("|".join(re.escape(x) for x in CONFUSED))
 LOG_CONFUSE, LOG_TWO = math.log(0.01), math.log(0.001)  # one confused character, two of them
 LOG_SIGN = math.log(1e-4)  # that a true word holds a digit or sign between letters
 ALPHA = 0.05  # count of a word never seen
@@ -81,25 +87,52 @@ def keys_maker():
     def keys(text: str) -> list[str]:
         tokens = [words[t] for t in text.split()]
         out = [t for t in tokens if t]
-        out += ["\ttotal"] * len(out)
         out += [a + " " + b for a, b in zip(tokens, tokens[1:]) if a and b]
         return out
 
     return keys
 
 
-def language_model(df: DataFrame, text_col: str) -> Counts:
-    """Word and word-pair counts of all rows."""
-    return count_keys(df.filter(F.length(text_col) > 0), text_col, keys_maker, bits=19)
+def language_model(df: DataFrame, text_col: str) -> DataFrame:
+    """(key_hash, key, n): exact word and word-pair counts of all rows; key is null for pairs."""
+    return key_counts(df.filter(F.length(text_col) > 0), text_col, keys_maker, named=lambda k: " " not in k).persist(StorageLevel.DISK_ONLY)
+
+
+def same_form(word: Column) -> Column:
+    """The form that words share that can be read for each other, by any number of confused characters."""
+    out = F.translate(word, *CLASSES[0])
+    for read, form in CLASSES[1]:
+        out = F.replace(out, F.lit(read), F.lit(form))
+    return out
+
+
+def all_candidates(counts: DataFrame, total: int) -> DataFrame:
+    """(word, options) of the words that have other candidates than themselves."""
+    words = counts.filter("key IS NOT NULL")
+    groups = words.groupBy(same_form(F.col("key")).alias("form")).agg(F.collect_list(F.struct("key", "n")).alias("words")).filter("size(words) > 1").select("words")
+
+    def make():
+        def step(words):
+            channel = Channel(total, {x["key"]: x["n"] for x in words}, {})
+            for x in words:
+                found = channel.search(x["key"])
+                if len(found) > 1:
+                    yield x["key"], [{"word": c, "p": p} for c, p in found]
+
+        return step
+
+    return flat_map(groups, make, "word string, options array<struct<word:string,p:double>>")
 
 
 class Channel:
     """Candidates of words and the decoding of lines."""
 
-    def __init__(self, counts: Counts):
-        self.n = counts
-        self.total = max(1, counts("\ttotal"))
-        self.known: dict[str, list[tuple[str, float]]] = {}
+    def __init__(self, total: int, counts: dict, options: dict[str, list[tuple[str, float]]], of=lambda k: k):
+        """counts: by what of() makes of a word or pair; options: candidates of the words that have any."""
+        self.total, self.counts, self.options, self.of = max(1, total), counts, options, of
+
+    def n(self, key: str) -> int:
+        return self.counts.get(self.of(key), 0)
 
     def undo(self, w: str) -> Iterator[str]:
         for i in range(len(w)):
@@ -111,13 +144,17 @@ class Channel:
     def prior(self, w: str, own: int = 0) -> float:
         return math.log(max(self.n(w) - own, 0) + ALPHA) - math.log(self.total)
 
+    @staticmethod
+    def itself(w: str) -> tuple[str, float]:
+        return w, LOG_SIGN if any(c in SIGNS for c in w) and not w[-1:].isdigit() else 0.0
+
     def candidates(self, w: str) -> list[tuple[str, float]]:
+        return self.options.get(w) or [self.itself(w)]
+
+    def search(self, w: str) -> list[tuple[str, float]]:
         """True words for a read word with the channel's log probability; the read word itself comes first."""
-        hit = self.known.get(w)
-        if hit is not None:
-            return hit
         odd = any(c in SIGNS for c in w)
-        itself = (w, LOG_SIGN if odd and not w[-1:].isdigit() else 0.0)
+        itself = self.itself(w)
         out = [itself]
         stay = self.prior(w, 1) + itself[1]
         # a word so frequent that no other can outdo it has no candidates
@@ -132,11 +169,17 @@ class Channel:
                         if c not in first and c != w and self.n(c) > 2 and self.prior(c) + LOG_TWO > stay and not any(x in SIGNS for x in c):
                             out.append((c, LOG_TWO))
             out = out[:1] + sorted(set(out[1:]), key=lambda x: -(self.prior(x[0]) + x[1]))[:6]
-        if len(self.known) > 200_000:
-            self.known.clear()
-        self.known[w] = out
         return out
 
+    def asked(self, line: list[str]) -> Iterator[str]:
+        """Words and pairs whose counts decide on a line; elsewhere all its readings have the same."""
+        options = [[c for c, _ in self.candidates(w)] if w else [""] for w in line]
+        for i, o in enumerate(options):
+            before = options[i - 1] if i else [""]
+            if len(o) > 1 or len(before) > 1:
+                yield from (c for c in o + before if c)
+                yield from (a + " " + b for a in before for b in o if a and b)
+
     def step(self, a: str, b: str, own: int) -> float:
         """log P(b | a): word pairs backed by single words; own occurrences are left out."""
         single = (max(self.n(b) - own, 0) + ALPHA) / self.total
@@ -185,11 +228,11 @@ def title_key(line: str) -> str:
 
 
 class Cleaner:
-    def __init__(self, counts: Counts):
-        self.channel, self.words = Channel(counts), Words()
+    def __init__(self, channel: Channel, words: Words | None = None):
+        self.channel, self.words = channel, Words() if words is None else words
 
-    def analyse(self, text: str) -> tuple[set[str], str]:
-        """Kinds of noise and the repaired text."""
+    def kept(self, text: str) -> tuple[set[str], list[str]]:
+        """Kinds of noise lines, and the other lines."""
         lines = text.split("\n")
         kind = [""] * len(lines)
         bare = []
@@ -211,8 +254,32 @@ class Cleaner:
             s = line.strip()
             if not kind[i] and 3 < len(s) < 90 and count[title_key(line)] > 1 and self.is_title(s) and self.is_furniture(lines, kind, title_key(line)):
                 kind[i] = "running_header"
-        noise = {k for k in kind if k}
-        kept = [x for x, k in zip(lines, kind) if not k]
+        return {k for k in kind if k}, [x for x, k in zip(lines, kind) if not k]
+
+    def asked(self, text: str) -> set[str]:
+        """Words and pairs whose counts analyse() may ask for."""
+        out: set[str] = set()
+        heads: set[str] = set()  # what may stand before the mark at the end of the line before
+        for line in self.kept(text)[1]:
+            out.update(self.channel.asked([self.words[t] for t in line.split(" ")]))
+            tokens = line.split()
+            if not tokens:
+                continue
+            ways = self.ways(tokens[0]) if heads or len(tokens) == 1 else set()
+            out.update(self.words[h + x + t] for h in heads for t in ways for x in ("", "-"))
+            ends = {h + t for h in heads | {""} for t in ways} if len(tokens) == 1 else self.ways(tokens[-1]) if tokens[-1][-1] in MARKS else set()
+            heads = {e[:-1] for e in ends if e[-1:] and e[-1] in MARKS}
+        return out - {""}
+
+    def ways(self, raw: str) -> set[str]:
+        """What read() may make of a token."""
+        w = self.words[raw]
+        out = {raw} | {self.put(raw, w, c) for c, _ in (self.channel.candidates(w) if w else ())}
+        return out | {x for t in out if (x := self.number(t))}
+
+    def analyse(self, text: str) -> tuple[set[str], str]:
+        """Kinds of noise and the repaired text."""
+        noise, kept = self.kept(text)
         out, i = [], 0
         fixed = [self.read(x, noise) for x in kept]
         while i < len(fixed):
@@ -266,18 +333,30 @@ class Cleaner:
                 if i == len(raw) - 1 and raw[i][-1:] in MARKS:
                     continue
                 noise.add("misread")
-                at = raw[i].lower().find(w)
-                true = c.upper() if raw[i].isupper() else c.capitalize() if raw[i][at : at + 1].isupper() else c
-                raw[i] = raw[i][:at] + true + raw[i][at + len(w) :]
+                raw[i] = self.put(raw[i], w, c)
                 changed = True
         for i, t in enumerate(raw):
-            core = t.strip("\"'“”‘’.,;:!?।")
-            if _NUMBER.fullmatch(core) and sum(c.isdigit() for c in core) >= 3:
+            if (x := self.number(t)) is not None:
                 noise.add("misread")
-                raw[i] = t.replace(core, re.sub(r"(?<=\d)[OolISB]|[OolISB](?=\d)", lambda m: "001158"["OolISB".index(m.group())], core))
+                raw[i] = x
                 changed = True
         return " ".join(raw) if changed else line
 
+    @staticmethod
+    def put(raw: str, w: str, c: str) -> str:
+        """The token with the true word c in place of w."""
+        at = raw.lower().find(w)
+        true = c.upper() if raw.isupper() else c.capitalize() if raw[at : at + 1].isupper() else c
+        return raw[:at] + true + raw[at + len(w) :]
+
+    @staticmethod
+    def number(t: str) -> str | None:
+        """The token with its digits put right, if it is a misread number."""
+        core = t.strip("\"'“”‘’.,;:!?।")
+        if _NUMBER.fullmatch(core) and sum(c.isdigit() for c in core) >= 3:
+            return t.replace(core, re.sub(r"(?<=\d)[OolISB]|[OolISB](?=\d)", lambda m: "001158"["OolISB".index(m.group())], core))
+        return None
+
     def parted(self, line: str, nxt: str) -> str | None:
         """Both lines joined, if a word is parted between them."""
         a, b = line.rstrip(), nxt.lstrip()
@@ -299,25 +378,66 @@ class Cleaner:
         return re.sub(r"(?<=[^\n])\n(?=[^\n\s\-*+#|>\d])", " ", text).strip()
 
 
-def analyse(df: DataFrame, id_col: str, text_col: str, counts: Counts) -> DataFrame:
-    """id, noise (array of kinds, sorted) and repaired_text of every row."""
+def analyse(df: DataFrame, id_col: str, text_col: str, counts: DataFrame) -> DataFrame:
+    """id, noise (array of kinds, sorted) and repaired_text of every row; counts: see language_model."""
     kind = df.schema[id_col].dataType.simpleString()
-    shared = df.sparkSession.sparkContext.broadcast(counts)
+    total = counts.filter("key IS NOT NULL").agg(F.sum("n")).first()[0] or 0
+    # equal texts share what is joined with them
+    texts = df.select(id_col, F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    usable = (F.length("text") > 0) & ~F.col("text").rlike(SENTINEL)
+
+    def words_maker():
+        words = Words()
+        confusable: dict[str, bool] = {}
+
+        def step(text_hash, text):
+            for w in {words[t] for t in text.split()}:
+                hit = confusable.get(w)
+                if hit is None:
+                    if len(confusable) > 300_000:
+                        confusable.clear()
+                    hit = confusable[w] = len(w) > 2 and _CONFUSABLE.search(w) is not None
+                if hit:
+                    yield text_hash, w
+
+        return step
+
+    held = flat_map(texts.filter(usable).select("text_hash", "text"), words_maker, "text_hash long, word string")
+    options = held.join(all_candidates(counts, total), "word").groupBy("text_hash").agg(F.collect_set(F.struct("word", "options")).alias("options"))
+    texts = texts.join(options, "text_hash", "left")
+
+    def options_of(found) -> dict[str, list[tuple[str, float]]]:
+        return {x["word"]: [(o["word"], o["p"]) for o in x["options"]] for x in found or ()}
+
+    def keys_of_maker():
+        words = Words()
+
+        def step(text_hash, text, found):
+            if found or any(m in text for m in MARKS):
+                for k in Cleaner(Channel(total, {}, options_of(found)), words).asked(text):
+                    yield text_hash, key_hash(k)
+
+        return step
+
+    asked = flat_map(texts.filter(usable).select("text_hash", "text", "options"), keys_of_maker, "text_hash long, key_hash long")
+    told = asked.join(counts.select("key_hash", "n"), "key_hash").groupBy("text_hash").agg(F.collect_set(F.struct("key_hash", "n")).alias("told"))
 
     def make():
-        cleaner = Cleaner(shared.value)
+        words = Words()
         plain = re.compile(SENTINEL)
 
-        def step(key, text):
+        def step(key, text, found, told):
             if not text or plain.match(text):
                 yield key, [], text
                 return
-            noise, repaired = cleaner.analyse(text)
+            channel = Channel(total, {x["key_hash"]: x["n"] for x in told or ()}, options_of(found), key_hash)
+            noise, repaired = Cleaner(channel, words).analyse(text)
             yield key, sorted(noise), repaired
 
         return step
 
-    return flat_map(df.select(id_col, text_col), make, f"{id_col} {kind}, noise array<string>, repaired_text string")
+    done = texts.join(told, "text_hash", "left").select(id_col, "text", "options", "told")
+    return flat_map(done, make, f"{id_col} {kind}, noise array<string>, repaired_text string")
 
 
 def p4_repaired(spark, sf_dir: str) -> DataFrame:

@@ -1,47 +1,16 @@
-"""Count-min sketches of string keys over a whole table, of a fixed size whatever the table's.
-
-Every task counts the keys of its rows into one depth x width array and sends its non-zero cells; cells are summed
-by a shuffle of at most depth x width rows a task. The result (a few MB) is broadcast: its size is set by
-parameters, so it doesn't grow with the data, and it holds counts of all rows.
-"""
+"""Exact counts of string keys over a whole table, distributed by a 64-bit hash of the key."""
 
 from __future__ import annotations
 
-from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEPTH, BITS = 3, 18
-FLUSH = 300_000  # distinct keys a task holds before it folds them into its array
-
-
-def cells(key: str, bits: int) -> tuple[int, int, int]:
-    h = xxhash.xxh3_64_intdigest(key.encode("utf-8", "surrogatepass"))
-    mask = (1 << bits) - 1
-    return h & mask, (1 << bits) + (h >> 21 & mask), (2 << bits) + (h >> 42 & mask)
-
-
-class Counts:
-    """Estimated counts: the least of a key's cells, less what other keys put into a cell on average.
-
-    The correction keeps the estimate centred when the corpus outgrows the array (count-mean-min).
-    """
-
-    def __init__(self, flat: np.ndarray, bits: int):
-        self.flat, self.bits = array("q", flat.tolist()), bits
-        self.mean = float(flat.sum()) / DEPTH / (1 << bits)
-
-    def __call__(self, key: str) -> int:
-        a, b, c = cells(key, self.bits)
-        f = self.flat
-        n = min(f[a], f[b], f[c])
-        return n if self.mean < 1 else max(0, round(n - self.mean))
+FLUSH = 300_000  # distinct keys a task holds before it sends them on
 
 
 def key_hash(key: str) -> int:
@@ -50,15 +19,21 @@ def key_hash(key: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def key_counts(df: DataFrame, column: str, make: Callable[[], Callable[[str], Iterable[str]]], expand: Callable[[dict[str, int]], dict[str, int]] | None = None) -> DataFrame:
-    """(key_hash, n): exact counts of all keys of a column, summed in each task before the shuffle; stays distributed."""
+def key_counts(df: DataFrame, column: str, make: Callable[[], Callable[[str], Iterable[str]]], expand: Callable[[dict[str, int]], dict[str, int]] | None = None, named: Callable[[str], bool] | None = None) -> DataFrame:
+    """(key_hash, n): exact counts of all keys of a column, summed in each task before the shuffle; stays distributed.
+
+    With named, (key_hash, key, n): the key itself where named(key) holds, else null.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys_of, held = make(), Counter()
 
         def out() -> pa.RecordBatch:
             kept = expand(held) if expand else held
-            batch = pa.RecordBatch.from_arrays([pa.array([key_hash(k) for k in kept], pa.int64()), pa.array(list(kept.values()), pa.int64())], names=["key_hash", "n"])
+            cols = {"key_hash": pa.array([key_hash(k) for k in kept], pa.int64()), "n": pa.array(list(kept.values()), pa.int64())}
+            if named:
+                cols["key"] = pa.array([k if named(k) else None for k in kept], pa.string())
+            batch = pa.RecordBatch.from_pydict(cols)
             held.clear()
             return batch
 
@@ -70,43 +45,5 @@ def key_counts(df: DataFrame, column: str, make: Callable[[], Callable[[str], It
                 yield out()
         yield out()
 
-    return df.select(column).mapInArrow(run, "key_hash long, n long").groupBy("key_hash").agg(F.sum("n").alias("n"))
-
-
-def count_keys(
-    df: DataFrame,
-    column: str,
-    make: Callable[[], Callable[[str], Iterable[str]]],
-    bits: int = BITS,
-    expand: Callable[[dict[str, int]], dict[str, int]] | None = None,
-) -> Counts:
-    """Counts of the keys that the function made by make() yields for each non-null text; make() is called once a task.
-
-    expand turns counted keys into the keys to be kept, where many of these follow from each distinct one.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys_of = make()
-        flat, held = np.zeros(DEPTH << bits, dtype=np.int64), Counter()
-
-        def fold() -> None:
-            if held:
-                kept = expand(held) if expand else held
-                at = np.array([cells(k, bits) for k in kept]).ravel()
-                np.add.at(flat, at, np.repeat(np.fromiter(kept.values(), dtype=np.int64, count=len(kept)), DEPTH))
-                held.clear()
-
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                if text:
-                    held.update(keys_of(text))
-            if len(held) > FLUSH:
-                fold()
-        fold()
-        used = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(flat[used], pa.int64())], names=["cell", "n"])
-
-    summed = df.select(column).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    flat = np.zeros(DEPTH << bits, dtype=np.int64)
-    flat[summed.column("cell").to_numpy()] = summed.column("n").to_numpy()
-    return Counts(flat, bits)
+    rows = df.select(column).mapInArrow(run, "key_hash long, n long" + ", key string" * bool(named))
+    return rows.groupBy("key_hash", *["key"] * bool(named)).agg(F.sum("n").alias("n"))
