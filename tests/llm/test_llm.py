@@ -204,6 +204,18 @@ def test_truncation(spark):
     assert truncation.find_cut(a.limit(0), "record_id", "s", [(a.limit(0), "f")], (a.limit(0), "f"), 3).count() == 0
 
 
+def test_truncation_by_longer_copies_of_any_script(spark):
+    pairs = {
+        1: ("कार्यालय ने पत्र का", "कार्यालय ने पत्र का जवाब नहीं दिया है।\n\nधन्यवाद"), 2: ("Send the reply to", "Send the reply to 185, Moti Road\n\nThanks"), 3: ("They met Asha", "They met Asha Tungwal there."),
+        4: ("Subject: A note", "Subject: A note\n\nDear Sir, it is late."), 5: ("It is done.", "It is done. Nothing else is."), 6: ("Regards, Jyoti", "Regards,\nJyoti\nMobile 5"), 7: ("To our surprise", "To our surprise, the clerk left."), 8: ("It is late", "It is late."), 9: ("They ate", "They ate. More came."),
+    }
+    rows_ = [(k, short, None) for k, (short, _) in pairs.items()] + [(100 + k, None, long) for k, (_, long) in pairs.items()] + [(200, None, "They met Asha\n\nand left."), (202, None, "Subject: A note Dear Sir, it is late.")]
+    a = spark.createDataFrame(rows_, "record_id long, s string, f string")
+    for n_parts in (1, 12):
+        got = {r.record_id for r in truncation.find_cut(a, "record_id", "s", [(a, "f")], (a, "f"), n_parts).filter("evidence = 'copy'").collect()}
+        assert got == {1, 2, 3, 7}, (n_parts, got)
+
+
 def test_personal_data(spark):
     sheet = spark.read.parquet("/root/testdata/sf0.01/sheet3.parquet")
     model = personal_data.train(sheet, spark.read.parquet(f"{DATA}/name_parts.parquet"), "full_extracted_text", personal_data.TAGS)

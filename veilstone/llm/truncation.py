@@ -3,8 +3,9 @@
 Two kinds of evidence, both from prefixes:
 
 1. Self-join by prefix. All values are sorted (range-partitioned, so no group of equal beginnings ends up in one
-   task); a value that is a strict prefix of another is a prefix of its successor in this order. A value whose longer
-   copy goes on inside its last word or sentence was cut.
+   task); the values that a value is a strict prefix of follow it in this order, and all are judged. A value was cut
+   if a longer copy goes on inside its last word or sentence, or in the same paragraph after no terminal mark.
+   Where copies tell line ends, those without any don't decide on the paragraph.
 2. The same question for the last words of a value, whose longer copy need not survive: hashed prefixes of all word
    triples of the corpus are counted and joined with the last words. A value was cut if its last words elsewhere are only the
    beginning of longer ones, or always go on, and never end a sentence or paragraph.
@@ -31,6 +32,7 @@ from veilstone.llm.sketch import key_counts, key_hash
 OFTEN = 30  # places that show that a word with its point never ends a paragraph
 RARE_END = 0.03  # last words that end a sentence in no more than this share of their places go on
 LEAST = 3  # places in which the last words must go on
+WRAPPED = 40  # characters of a line from which its end may be that of a wrapped line
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")
 _FINAL = re.compile(r"[.!?।॥。！？۔؟…][\"'”’»)\]」』*_>]*$|[\"”’»」』>]$|\}$")
 _PICTURE = re.compile(r"[\U0001F000-\U0001FAFF☀-➿️‍]+$")
@@ -156,11 +158,36 @@ def by_tail(df: DataFrame, counts: DataFrame) -> DataFrame:
     return sums.filter(is_cut).select("record_id")
 
 
+def level(text: str) -> tuple[str, str]:
+    """Words parted by single blanks, and where a blank stands for line ends: 'offset' or, of a blank line, 'offset='."""
+    if "\n" not in text:
+        return " ".join(text.split()), ""
+    lines, breaks, at, blank = [], [], 0, False
+    for line in text.split("\n"):
+        words = " ".join(line.split())
+        if not words:
+            blank = True
+            continue
+        if lines:
+            breaks.append(f"{at}=" if blank else f"{at}")
+            at += 1
+        lines.append(words)
+        at += len(words)
+        blank = False
+    return " ".join(lines), " ".join(breaks)
+
+
+def verdict(value: str, copy: str, breaks: str) -> str:
+    """goes_on() of a longer copy; 'joined' if it goes on in a paragraph but the copy tells no line ends."""
+    return goes_on(copy[len(value) : len(value) + 60], value, breaks.split())
+
+
 def longer_copies(values: DataFrame, n_parts: int) -> DataFrame:
-    """(record_id, rest) of targets that are strict prefixes of another value; rest is how the copy goes on.
+    """(record_id, verdict) of targets that are strict prefixes of other values, one for each kind of verdict.
 
-    values: record_id, value, is_target. Sorted over range partitions; each task compares neighbours and passes on
-    its first and last value, so that neighbours in different tasks meet in a second, small step.
+    values: record_id, value, breaks, is_target. Sorted over range partitions; each task keeps the values that the
+    current one begins with. Those at the end of a task that begin the next task's first value meet all values in a
+    second, small step.
     """
     kind = values.schema["record_id"].dataType.simpleString()
     id_type = {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
@@ -170,54 +197,87 @@ def longer_copies(values: DataFrame, n_parts: int) -> DataFrame:
 
         part = TaskContext.get().partitionId()
         out: list[tuple] = []
-        first, last, ids = None, None, set()
+        first, seen = None, None
+        open_: list[tuple[str, set, set]] = []  # values that the current one begins with: value, ids, verdicts
+
+        def close(n: int) -> None:
+            while len(open_) > n:
+                _, ids, told = open_.pop()
+                out.extend(("found", k, v, part, None) for k in ids for v in told)
 
         def flush() -> pa.RecordBatch:
             cols = list(zip(*out)) or [[]] * 5
             out.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.string(), id_type, pa.string(), pa.int32(), pa.string()))], names=["what", "record_id", "rest", "part", "value"]
+                [pa.array(c, t) for c, t in zip(cols, (pa.string(), id_type, pa.string(), pa.int32(), pa.string()))], names=["what", "record_id", "verdict", "part", "value"]
             )
 
         for b in batches:
-            for key, value, target in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                if value != last:
-                    if last is None:
-                        first = value
-                    elif value.startswith(last):
-                        out += [("found", k, value[len(last) : len(last) + 60], part, None) for k in ids]
-                    last, ids = value, set()
+            for key, value, breaks, target in zip(*(b.column(i).to_pylist() for i in range(4))):
+                first = value if first is None else first
+                if (value, breaks) != seen:
+                    seen = value, breaks
+                    n = len(open_)
+                    while n and not value.startswith(open_[n - 1][0]):
+                        n -= 1
+                    close(n)
+                    for v, ids, told in open_:
+                        if len(v) < len(value) and ids and "cut" not in told:
+                            told.add(verdict(v, value, breaks))
+                    if not open_ or open_[-1][0] != value:
+                        open_.append((value, set(), set()))
                 if target:
-                    ids.add(key)
+                    open_[-1][1].add(key)
             yield flush()
-        if last is not None:
+        if first is not None:
             out.append(("first", None, None, part, first))
-            out += [("last", k, None, part, last) for k in ids]
+            out += [("last", k, None, part, v) for v, ids, told in open_ if "cut" not in told for k in ids]
+            close(0)
             yield flush()
 
-    rows = values.repartitionByRange(n_parts, "value").sortWithinPartitions("value").mapInArrow(scan, f"what string, record_id {kind}, rest string, part int, value string")
+    rows = values.repartitionByRange(n_parts, "value").sortWithinPartitions("value", "breaks").mapInArrow(scan, f"what string, record_id {kind}, verdict string, part int, value string")
     rows = rows.persist()
-    found = rows.filter("what = 'found'").select("record_id", "rest")
+    found = rows.filter("what = 'found'").select("record_id", "verdict")
     # one 'first' row per partition; the next partition that has rows is the neighbour
     firsts = rows.filter("what = 'first'").select(F.col("part").alias("p2"), F.col("value").alias("v2"))
     lasts = rows.filter("what = 'last'").select("record_id", "part", "value")
     edge = lasts.join(F.broadcast(firsts), F.col("p2") > F.col("part")).groupBy("record_id", "value").agg(F.min_by("v2", "p2").alias("v2"))
-    edge = edge.filter((F.col("v2") != F.col("value")) & F.startswith(F.col("v2"), F.col("value"))).select(
-        "record_id", F.substring(F.col("v2"), F.length("value") + 1, F.lit(60)).alias("rest")
-    )
-    return found.unionByName(edge)
+    edge = edge.filter(F.startswith(F.col("v2"), F.col("value"))).select("record_id", F.col("value").alias("short"))
+    beyond = values.select("value", "breaks").join(F.broadcast(edge), F.startswith(F.col("value"), F.col("short")) & (F.col("value") != F.col("short")))
+
+    def maker():
+        return lambda key, short, value, breaks: iter([(key, verdict(short, value, breaks))])
+
+    return found.unionByName(flat_map(beyond.select("record_id", "short", "value", "breaks"), maker, f"record_id {kind}, verdict string"))
 
 
-def goes_on(rest: str) -> str:
-    """What the rest of a longer copy says: 'cut' inside a word or sentence, 'whole' or 'unknown'."""
+def goes_on(rest: str, value: str = "", breaks: list[str] | None = None) -> str:
+    """What the rest of a longer copy says: 'cut' inside a word, sentence or paragraph, 'whole', 'unknown' or 'joined'.
+
+    breaks: the copy's line ends as in level(); 'joined' if there are none, so that the paragraph may have ended.
+    """
     if not rest.strip():
         return "whole"
     c = rest[0]
     if not c.isspace():
-        return "cut" if c.isalnum() or ord(c) > 0x300 else "unknown"
+        if c.isalnum() or ord(c) > 0x300:
+            return "cut"
+        inside = value and not _FINAL.search(value) and not _FINAL.search(c) and any(x.isalnum() for x in rest)
+        return "cut" if inside else "unknown"
     if "\n" in rest[: len(rest) - len(rest.lstrip())] or _TAIL_LINE.match(rest):
         return "unknown"
-    return "cut" if rest.lstrip()[0].islower() else "unknown"
+    if rest.lstrip()[0].islower():
+        return "cut"
+    if _FINAL.search(value) or not value:
+        return "unknown"
+    if not breaks:
+        return "joined"
+    if f"{len(value)}=" in breaks:
+        return "unknown"
+    if str(len(value)) in breaks:  # a line of a wrapped paragraph is long, those of lists and letter ends aren't
+        before = max((n for x in breaks if (n := int(x.rstrip("="))) < len(value)), default=0)
+        return "cut" if len(value) - before >= WRAPPED else "unknown"
+    return "cut"
 
 
 def find_cut(df: DataFrame, id_col: str, text_col: str, copies: list[tuple[DataFrame, str]], corpus: tuple[DataFrame, str], n_parts: int) -> DataFrame:
@@ -228,19 +288,17 @@ def find_cut(df: DataFrame, id_col: str, text_col: str, copies: list[tuple[DataF
     kind = df.schema[id_col].dataType.simpleString()
 
     def level_maker():
-        return lambda key, text, target: iter([(key, " ".join(text.split()), target)])
+        return lambda key, text, target: iter([(key, *level(text), target)])
 
     usable = F.col("value").isNotNull() & (F.length("value") > 0) & ~F.col("value").rlike(SENTINEL)
     raw = df.select(F.col(id_col).alias("record_id"), F.col(text_col).alias("value")).filter(usable)
     values = raw.withColumn("is_target", F.lit(True))
     for other, column in copies:
         values = values.unionByName(other.select(F.lit(None).cast(kind).alias("record_id"), F.col(column).alias("value"), F.lit(False).alias("is_target")).filter(usable))
-    copied = longer_copies(flat_map(values, level_maker, f"record_id {kind}, value string, is_target boolean"), n_parts)
-
-    def rest_maker():
-        return lambda key, rest: iter([(key, goes_on(rest))])
-
-    by_copy = flat_map(copied, rest_maker, f"record_id {kind}, verdict string").filter("verdict = 'cut'").select("record_id", F.lit("copy").alias("evidence"))
+    copied = longer_copies(flat_map(values, level_maker, f"record_id {kind}, value string, breaks string, is_target boolean"), n_parts)
+    # copies that tell no line ends decide only where no other does
+    told = copied.groupBy("record_id").agg(*[F.max(F.col("verdict") == v).alias(v) for v in ("cut", "joined", "unknown")])
+    by_copy = told.filter("cut OR joined AND NOT unknown").select("record_id", F.lit("copy").alias("evidence"))
     tails = by_tail(raw, corpus_counts(*corpus)).withColumn("evidence", F.lit("tail"))
     return by_copy.unionByName(tails).distinct()
 
