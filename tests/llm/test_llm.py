@@ -136,6 +136,27 @@ def test_long_markup():
     assert {n.kind for n in markup.parse(apart)} <= {"b_sign", "l_cmd", "l_esc"}
 
 
+NESTED = {
+    "it is **the [page](http://x.example)** now": "it is the page now", "it is '''the [[page]]''' now": "it is the page now", "a {{box|{{inner|a=1}}|b=2}} b": "a  b", "see <b>**x**</b> now": "see x now",
+    "## The **bold** head\n\ntext": "The bold head\n\ntext", "so \\textbf{a \\emph{b} c} now": "so a b c now", "see [[File:x.png|thumb|see [[page]] here]] it": "see see page here it", "'''the clerk's desk''' is": "the clerk's desk is",
+    "**bold with *em* in** x": "bold with em in x", "The desk {{check|agent}} did": "The desk agent did", "to {{" + "a|{{" * 300 + "b|c" + "}}" * 301 + " end": None,
+}
+
+
+def test_nested_markup():
+    texts = list(NESTED)
+    for text, (nodes, label) in zip(texts, markup.judge(texts, markup.fitted())):
+        assert label.all(), text[:40]
+        assert NESTED[text] is None or markup.clean(text, nodes, label) == NESTED[text]
+    inner = {n.kind: nodes[n.parent].kind for n in markup.parse("**the [page](http://x.example)**") for nodes in [markup.parse("**the [page](http://x.example)**")] if n.parent >= 0}
+    assert inner == {"m_link": "m_strong"}
+
+
+def test_page_numbers_and_rules_to_fill_in_are_no_markup():
+    texts = ["The clerk went home.\n\nWith regards,\n\n- 3 -\nAsha Meghwani\n- 4 -", "दर्ज नहीं किया।\n\n- १३ -\nराहत रजिस्टर\n\n", "Thanking you,\n\n" + "_" * 900 + "\n\nAsha"]
+    assert not any(label.any() for _, label in markup.judge(texts, markup.fitted()))
+
+
 def test_boosted_trees_learn_an_interaction():
     rng = np.random.default_rng(1)
     x = rng.random((800, 4))
@@ -261,7 +282,7 @@ def folders(spark, tmp_path_factory):
     return empty, odd
 
 
-@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n.endswith("_found") or n in ("p8_ids", "p9_containers", "p5_offices")])
+@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n.endswith("_found") or n in ("p8_ids", "p9_containers", "p5_offices", "p1_clean_text", "p4_repaired", "p2_pieces", "p7_segments")])
 def test_queries_on_empty_and_odd_tables(spark, folders, name):
     empty, odd = folders
     assert queries.QUERIES[name](spark, empty).count() == 0

@@ -28,6 +28,9 @@ class BoostedTrees:
         return self
 
     def _grow(self, code: np.ndarray, grad: np.ndarray, hess: np.ndarray) -> tuple[np.ndarray, ...]:
+        width, most = code.shape[1], max(map(len, self.edges)) + 1
+        base = np.arange(width) * most
+        cuts = np.arange(most)[None, :] < np.array(list(map(len, self.edges)))[:, None]
         feature, cut, left, right, value = [-1], [0.0], [-1], [-1], [0.0]
         work = [(0, np.arange(len(grad)), 0)]
         while work:
@@ -36,20 +39,14 @@ class BoostedTrees:
             value[node] = self.rate * g / (h + self.l2)
             if level == self.depth or h < 2 * self.least:
                 continue
-            best = (1e-6, -1, -1)
-            for f, edges in enumerate(self.edges):
-                if not len(edges):
-                    continue
-                gl = np.cumsum(np.bincount(code[rows, f], weights=grad[rows], minlength=len(edges) + 1))[:-1]
-                hl = np.cumsum(np.bincount(code[rows, f], weights=hess[rows], minlength=len(edges) + 1))[:-1]
-                ok = (hl >= self.least) & (h - hl >= self.least)
-                gain = np.where(ok, gl**2 / (hl + self.l2) + (g - gl) ** 2 / (h - hl + self.l2) - g**2 / (h + self.l2), 0)
-                k = int(gain.argmax())
-                if gain[k] > best[0]:
-                    best = (float(gain[k]), f, k)
-            if best[1] < 0:
+            # histograms of all features at once; a split after bin k of feature f
+            flat = (code[rows] + base).ravel()
+            gl, hl = (np.cumsum(np.bincount(flat, weights=np.repeat(v[rows], width), minlength=width * most).reshape(width, most), axis=1) for v in (grad, hess))
+            ok = cuts & (hl >= self.least) & (h - hl >= self.least)
+            gain = np.where(ok, gl**2 / (hl + self.l2) + (g - gl) ** 2 / np.maximum(h - hl + self.l2, 1e-12) - g**2 / (h + self.l2), 0)
+            f, k = divmod(int(gain.argmax()), most)
+            if gain[f, k] <= 1e-6:
                 continue
-            _, f, k = best
             feature[node], cut[node] = f, float(self.edges[f][k])
             goes = code[rows, f] <= k
             for side, part in ((left, rows[goes]), (right, rows[~goes])):

@@ -1,7 +1,9 @@
 """Problem 1: markup residue in text documents.
 
 A text is parsed into one tree of candidate nodes of four languages (HTML, Markdown, wiki, LaTeX): whatever could
-be markup is a node, also signs in their ordinary sense. Gradient-boosted trees score each node from its subtree
+be markup is a node, also signs in their ordinary sense. Elements, environments, tables and fences hold the nodes
+between their ends; headings, rows, emphasis, links, templates and arguments of commands hold those inside them,
+however deeply nested. Gradient-boosted trees score each node from its subtree
 density, attribute tokens, depth and siblings. A hierarchical decoding then labels the tree as a whole: what stands
 inside code is content, both ends of a pair and a table with its rows agree. The accepted nodes give the found
 languages and the clean text, which keeps headings, lists, tables, code and formulas.
@@ -57,16 +59,15 @@ _NODE = re.compile(
     r"""|(?P<m_heading>^[ ]{0,3}\#{1,6}[ \t]+\S[^\n]*$)"""
     r"""|(?P<m_sep>^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*$)"""
     r"""|(?P<m_row>^[ \t]*\|[^\n|]+(?:\|[^\n|]*)*\|[ \t]*$)"""
-    r"""|(?P<w_link>\[\[[^\[\]\n]++\]\])"""
-    r"""|(?P<w_call>\{\{[^{}]++\}\})"""
-    r"""|(?P<w_quote>'{2,5}(?=[^'\s])[^'\n]+?(?<=[^'\s])'{2,5})"""
+    r"""|(?P<w_link>\[\[)|(?P<w_call>\{\{)"""
+    r"""|(?P<w_quote>'{2,5}(?=[^'\s])(?:[^'\n]|'(?!'))+?(?<=[^'\s])'{2,5})"""
     r"""|(?P<l_env>\\(?:begin|end)\{(?P<env>[A-Za-z]+)\*?\}(?:\{[^{}\n]*\})?)"""
     r"""|(?P<l_math>\\\((?:.{1,300}?|(?:(?!\\[()]|\n[ \t]*\n).)++)\\\)|\\\[(?:.{1,300}?|(?:(?!\\\]|(?<!\\)\\\[|\n[ \t]*\n).)++)\\\]|\$\$?(?=[^\s$])(?P<math>[^$\n]+?)(?<=[^\s$])\$\$?)"""
-    r"""|(?P<l_cmd>\\(?P<cmd>[A-Za-z]+)\*?(?:\[[^\]\n]*\])?(?:\{[^{}\n]*\})*)"""
+    r"""|(?P<l_cmd>\\(?P<cmd>[A-Za-z]+)\*?(?:\[[^\]\n]*\])?)"""
     r"""|(?P<l_esc>\\[%&_\#\$\{\}]|\\\\(?=[ \t]*$)|(?<=\w)~(?=\\))"""
     r"""|(?P<m_image>!\[(?:[^\]\n]{0,200}|[^\[\]\n]*+)\]\((?:[^)\n]{1,300}|(?:[^)\n\]]|\](?!\())++)\))"""
     r"""|(?P<m_link>\[(?:[^\]\n]{1,200}|[^\[\]\n]++)\]\((?:[^)\s]{1,300}|(?:[^)\s\]]|\](?!\())++)\))"""
-    r"""|(?P<m_strong>\*\*(?=[^\s*])[^\n*]+?(?<=[^\s*])\*\*|(?<![\w_])__(?=[^\s_])[^\n_]+?(?<=[^\s_])__(?![\w_]))"""
+    r"""|(?P<m_strong>\*\*(?=[^\s*])(?:[^\n*]|\*(?!\*))+?(?<=[^\s*])\*\*|(?<![\w_])__(?=[^\s_])(?:[^\n_]|_(?!_))+?(?<=[^\s_])__(?![\w_]))"""
     r"""|(?P<m_strike>~~(?=[^\s~])[^\n~]+?(?<=[^\s~])~~)"""
     r"""|(?P<m_code>`(?=[^\s`])[^`\n]++`)"""
     r"""|(?P<m_bullet>^[ \t]*[-*+]{1,3}[ \t]+(?=\S))"""
@@ -80,57 +81,119 @@ _NODE = re.compile(
 KINDS = [k for k in _NODE.groupindex if "_" in k]
 LANG_OF = {"h": "html", "m": "markdown", "w": "wiki", "l": "latex", "b": ""}
 CODE_TAGS, CODE_ENVS = {"pre", "code", "style", "script"}, {"verbatim", "lstlisting"}
+SPANS = {"m_heading", "w_heading", "m_row", "w_row", "m_strong", "m_em", "m_strike", "w_quote", "m_link", "m_image", "w_link", "w_call", "l_cmd"}  # kinds that hold nodes inside them
+_PAIRS = {"w_call": re.compile(r"\{\{|\}\}"), "w_link": re.compile(r"\[\[|\]\]|\n[ \t]*\n"), "l_cmd": re.compile(r"\\.|[{}]|\n[ \t]*\n", re.S)}
 
 
 class Node:
-    __slots__ = ("kind", "lang", "start", "end", "name", "attrs", "parent", "pair", "children", "close", "code", "depth")
+    __slots__ = ("kind", "lang", "start", "end", "name", "attrs", "parent", "pair", "children", "close", "code", "depth", "inner", "args")
 
     def __init__(self, kind: str, start: int, end: int, name: str = "", attrs: str = "", parent: int = -1):
         self.kind, self.lang, self.start, self.end, self.name, self.attrs = kind, LANG_OF[kind[0]], start, end, name, attrs
         self.parent, self.pair, self.children, self.close, self.code, self.depth = parent, -1, [], False, False, 0
+        self.inner: list[int] = []  # nodes inside a span
+        self.args: list[tuple[int, int]] = []  # arguments of a command, without their braces
+
+
+def balanced(text: str, kind: str) -> dict[int, int]:
+    """Start of each opener that has its closer -> end of the closer; those of links and arguments stand in one paragraph."""
+    out: dict[int, int] = {}
+    stack: list[int] = []
+    for m in _PAIRS[kind].finditer(text):
+        sign = m.group()
+        if sign[0] == "\n":
+            stack.clear()
+        elif sign[0] in "{[":
+            stack.append(m.start())
+        elif sign[0] in "}]" and stack:
+            out[stack.pop()] = m.end()
+    return out
+
+
+def content_of(x: Node, text: str) -> tuple[int, int]:
+    """The stretch inside a span, without its own signs."""
+    a, b, raw = x.start, x.end, text[x.start : x.end]
+    if x.kind in ("m_heading", "w_heading"):
+        body = raw.strip().strip("#=").strip()
+        a += raw.find(body)
+        return a, a + len(body)
+    if x.kind in ("m_row", "w_row"):
+        return a + len(raw) - len(raw.lstrip()) + 1, b
+    if x.kind == "w_quote":
+        n = min(len(raw) - len(raw.lstrip("'")), len(raw) - len(raw.rstrip("'")))
+        return a + n, b - n
+    if x.kind in ("m_link", "m_image"):
+        return a + raw.index("[") + 1, a + raw.index("](")
+    n = 1 if x.kind == "m_em" else 2
+    return a + n, b - n
 
 
 def parse(text: str) -> list[Node]:
-    """Candidate nodes in order, as a tree through parent and children; openers are paired with their closers."""
+    """Candidate nodes, each before those inside it, as a tree through parent and children; openers are paired with their closers."""
     nodes: list[Node] = []
-    stack: list[int] = []  # open elements, environments, fences and tables
-    for m in _NODE.finditer(text):
-        kind = m.lastgroup if "_" in (m.lastgroup or "") else next(k for k in KINDS if m.group(k) is not None)
-        name = (m.group("name") or m.group("env") or m.group("cmd") or m.group("ent") or "") if kind in ("h_tag", "l_env", "l_cmd", "h_entity") else ""
-        node = Node(kind, m.start(), m.end(), name if kind[0] == "l" else name.lower(), m.group("attrs") or "" if kind == "h_tag" else "")
-        i = len(nodes)
-        opens = closes = False
-        if kind == "h_tag":
-            closes, opens = text[m.start() + 1] == "/", node.name not in ("br", "hr", "img", "meta", "link", "input") and text[m.end() - 2] != "/"
-            opens = opens and not closes
-            node.code = node.name in CODE_TAGS
-        elif kind == "l_env":
-            closes = text.startswith("\\end", m.start())
-            opens, node.code = not closes, node.name in CODE_ENVS
-        elif kind == "w_table":
-            closes = text[m.start() : m.end()].strip() == "|}"
-            opens = not closes
-        elif kind == "m_fence":
-            node.code, node.name = True, m.group("fence")[:3]
-            closes = any(nodes[k].kind == kind and nodes[k].name == node.name for k in stack)
-            opens = not closes
-        node.close = closes
-        if closes:
-            for d in range(len(stack) - 1, -1, -1):
-                k = stack[d]
-                if nodes[k].kind == kind and nodes[k].name == node.name:
-                    node.pair, nodes[k].pair = k, i
-                    del stack[d:]
-                    break
-        if stack:
-            node.parent, node.depth = stack[-1], len(stack)
-            nodes[stack[-1]].children.append(i)
-        nodes.append(node)
-        if opens:
-            stack.append(i)
+    spans = {k: balanced(text, k) if sign in text else {} for k, sign in (("w_call", "{{"), ("w_link", "[["), ("l_cmd", "\\"))}
+    work = [(0, len(text), -1)]  # stretches to be read, with the span they are inside of
+    while work:
+        a, b, holder = work.pop()
+        stack: list[int] = []  # open elements, environments, fences and tables
+        at = a
+        while m := _NODE.search(text, at, b):
+            kind = m.lastgroup if "_" in (m.lastgroup or "") else next(k for k in KINDS if m.group(k) is not None)
+            start, end = m.span()
+            at = max(end, at + 1)
+            args: list[tuple[int, int]] = []
+            if kind in ("w_call", "w_link"):
+                end = spans[kind].get(start, 0)
+                if not end or end > b or end - start < 5:
+                    at = start + 1
+                    continue
+                at = end
+            elif kind == "l_cmd":
+                while text.startswith("{", end) and (close := spans[kind].get(end, 0)) and close <= b:
+                    args.append((end + 1, close - 1))
+                    end = close
+                at = end
+            name = (m.group("name") or m.group("env") or m.group("cmd") or m.group("ent") or "") if kind in ("h_tag", "l_env", "l_cmd", "h_entity") else ""
+            node = Node(kind, start, end, name if kind[0] == "l" else name.lower(), m.group("attrs") or "" if kind == "h_tag" else "")
+            node.args = args
+            i = len(nodes)
+            opens = closes = False
+            if kind == "h_tag":
+                closes, opens = text[start + 1] == "/", node.name not in ("br", "hr", "img", "meta", "link", "input") and text[end - 2] != "/"
+                opens = opens and not closes
+                node.code = node.name in CODE_TAGS
+            elif kind == "l_env":
+                closes = text.startswith("\\end", start)
+                opens, node.code = not closes, node.name in CODE_ENVS
+            elif kind == "w_table":
+                closes = text[start:end].strip() == "|}"
+                opens = not closes
+            elif kind == "m_fence":
+                node.code, node.name = True, m.group("fence")[:3]
+                closes = any(nodes[k].kind == kind and nodes[k].name == node.name for k in stack)
+                opens = not closes
+            node.close = closes
+            if closes:
+                for d in range(len(stack) - 1, -1, -1):
+                    k = stack[d]
+                    if nodes[k].kind == kind and nodes[k].name == node.name:
+                        node.pair, nodes[k].pair = k, i
+                        del stack[d:]
+                        break
+            up = stack[-1] if stack else holder
+            if up >= 0:
+                node.parent, node.depth = up, nodes[up].depth + 1
+                nodes[up].children.append(i)
+            if holder >= 0:
+                nodes[holder].inner.append(i)
+            nodes.append(node)
+            if opens:
+                stack.append(i)
+            if kind in SPANS:
+                work += [(x, y, i) for x, y in (args if kind == "l_cmd" else [content_of(node, text)]) if y > x]
     # what an opener without a closer had taken in belongs to the level above
     for n in nodes:
-        while n.parent >= 0 and nodes[n.parent].pair < 0:
+        while n.parent >= 0 and nodes[n.parent].pair < 0 and nodes[n.parent].kind not in SPANS:
             n.parent, n.depth = nodes[n.parent].parent, n.depth - 1
     return nodes
 
@@ -174,15 +237,16 @@ def features(text: str, nodes: list[Node]) -> np.ndarray:
         row[base + 13] = not inner or inner.replace(" ", "").isdigit()
         row[base + 14] = a == 0 or text[max(0, a - 2) : a].strip(" \t") in ("\n\n", "") and (a < 2 or text[a - 1] == "\n" and text[a - 2] == "\n")  # opens a block
         row[base + 15] = bool(raw[:1].isspace() or raw[1:2].isspace() or raw[-2:-1].isspace())
-        row[base + 16] = bool(re.match(r"\s*\d+\s*[-~]?\s*$|\s*\d", line_rest)) if n.kind in ("m_bullet", "m_quote", "b_sign") else 0
-        row[base + 17] = bool(re.search(r"\\|[_^]\{|^[A-Za-z]$|[=+<>]", inner)) if n.kind == "l_math" else min(len(inner), 60) / 60
+        if n.kind in ("m_bullet", "m_quote", "b_sign"):  # a number follows, or a number and a closing sign is all there is
+            row[base + 16] = 2 if re.match(r"\s*[\dOlIivx]{1,5}\s*[-~*+]+\s*$", line_rest) else bool(re.match(r"\s*\d", line_rest))
+        row[base + 17] = bool(re.search(r"\\|[_^]\{|^[A-Za-z]$|[=+<>]", inner)) if n.kind == "l_math" else min(len(raw if n.kind == "m_rule" else inner), 60) / 60
         prev_line = text.rfind("\n", 0, max(0, a - 1))
         if n.kind in ("m_bullet", "m_quote") and not row[base + 14]:  # follows a line of its own kind
             row[base + 14] = 0.5 * bool(re.match(r"\s*(?:[-*+>:]+\s|\*\*)", text[prev_line + 1 : a]))
     return out
 
 
-def snippets(seed: int = 5, n: int = 900) -> tuple[np.ndarray, np.ndarray]:
+def snippets(seed: int = 5, n: int = 1200) -> tuple[np.ndarray, np.ndarray]:
     """Generated training nodes: markup and ordinary signs set into sentences of made-up words."""
     rng = random.Random(seed)
 
@@ -198,6 +262,10 @@ def snippets(seed: int = 5, n: int = 900) -> tuple[np.ndarray, np.ndarray]:
     def num() -> str:
         return str(rng.choice([rng.randint(1, 99), rng.randint(100, 99999)]))
 
+    def page() -> str:
+        n = str(rng.randint(1, 400))
+        return n.translate(str.maketrans("0123456789", "०१२३४५६७८९")) if rng.random() < 0.3 else n
+
     def tag() -> str:
         t = rng.choice(["p", "div", "h2", "b", "i", "span", "td", "li", "sup", "font", "code", "a"])
         t = t.upper() if rng.random() < 0.2 else t
@@ -214,10 +282,10 @@ def snippets(seed: int = 5, n: int = 900) -> tuple[np.ndarray, np.ndarray]:
         tag, tag, tag, tag, lambda: f"\n\n<ul><li>{words()}</li><li>{words()}</li></ul>\n\n", lambda: f"\n\n<table border=1><tr><th>{word()}</th></tr><tr><td>{num()}</td></tr></table>\n\n",
         lambda: f"\n\n<style>p {{color:{word()}}}</style>\n\n", lambda: f"<!-- {words()} -->", lambda: f"{word()}&{rng.choice(['nbsp', 'amp', 'gt', 'lt', 'times', 'copy', 'quot', 'mdash'])};{word()}", lambda: f"&#{rng.randint(100, 9000)};{num()}",
         lambda: f"&lt;{rng.choice(['b', 'i', 'p'])}&gt;{word()}&lt;/b&gt;", lambda: f"\n\n<pre><code>if {word()} &gt; {num()}:\n    {word()}({word()})</code></pre>\n\n",
-        lambda: f"\n\n{'#' * rng.randint(1, 4)} {words()}{rng.choice(['', '', ' ###'])}\n\n", lambda: f"\n\n{words()}\n{rng.choice('=-') * rng.randint(3, 14)}\n\n", lambda: block(["-", "*", "+"]), lambda: block(["* ", "**", "*"], lambda: "[[") .replace("\n\n\n", "\n\n"),
+        lambda: f"\n\n{'#' * rng.randint(1, 4)} {words()}{rng.choice(['', '', ' ###'])}\n\n", lambda: f"\n\n{words()}\n{rng.choice('=-') * rng.randint(3, 14)}\n\n", lambda: block(["-", "*", "+"]), lambda: block(["-", "*", "+"], lambda: num() + " "), lambda: block(["* ", "**", "*"], lambda: "[[") .replace("\n\n\n", "\n\n"),
         lambda: f"\n\n```\n{word()} {num()}: {words()}\n{word()}={num()}\n```\n\n", lambda: f"\n\n~~~\n{word()} < {num()} & {word()}\n~~~\n\n", lambda: f"`{word()}`", lambda: f"**{words(1, 2)}**", lambda: f"__{word()}__", lambda: f"*{words(1, 2)}*", lambda: f"_{word()}_", lambda: f"~~{word()}~~",
         lambda: f"[{words(1, 3)}](https://{word()}.example/{word()})", lambda: f"\n\n![{words()} {num()}](img_{num()}.png)\n\n", lambda: f"\n\n> {words()}.\n> **{word()}** {words()}\n\n", lambda: f"\n\n> {sentence()}\n\n",
-        lambda: f"\n\n| {word()} | {word()} |\n|{rng.choice([':---', '---'])}|---:|\n{table('| {} | {} |')}\n\n", lambda: f"\n\n***\n\n",
+        lambda: f"\n\n| {word()} | {word()} |\n|{rng.choice([':---', '---'])}|---:|\n{table('| {} | {} |')}\n\n", lambda: f"\n\n{rng.choice(['***', '* * *', '___', '_____'])}\n\n",
         lambda: f"\n\n{rng.choice(['==', '==='])} {words()} ==\n\n".replace("=== ", "== ", 1), lambda: f"[[{words()}]]", lambda: f"[[{word()}:{word()}.png|thumb|{words()}]] '''{word()}'''", lambda: f"{{{{{word()}|{word()}={num()}}}}}", lambda: f"{{{{{word()}}}}}", lambda: f"''{word()}''", lambda: f"'''{word()}'''",
         lambda: f"\n\n{{| class=\"{word()}\"\n! {word()} !! {word()}\n|-\n{table('| {} || {}' + chr(10) + '|-')}\n|}}\n\n", lambda: block([":", "*", "**"], lambda: "[[" + word() + "]] "), lambda: f"\n\n=== {words()} ===\n\n",
         lambda: f"\n\n\\{rng.choice(['section', 'subsection*', 'section*'])}{{{words()}}}\n\n", lambda: f"\\{rng.choice(['textbf', 'emph', 'underline', 'textit'])}{{{words(1, 2)}}}", lambda: f"\n\n\\begin{{itemize}}\n\\item {words()}\n\\item {words()}\n\\end{{itemize}}\n\n",
@@ -229,7 +297,7 @@ def snippets(seed: int = 5, n: int = 900) -> tuple[np.ndarray, np.ndarray]:
         lambda: f"{word()} #{num()} {words()} #{num()}", lambda: f"{num()} * {num()} {word()} {num()} * {num()}", lambda: f"{word()} {num()}\n* {num()} {words()}", lambda: f"{word()} {num()}\n- {num()} {words()}", lambda: f"{word().title()} | {word().title()} | {words(2, 3)}", lambda: f"{{{word()}}}", lambda: f"{{{words(2, 3)}}}",
         lambda: f"[{word()}]", lambda: f"[{num()}]", lambda: f"\n- {rng.randint(1, 40)} -\n", lambda: f"\n~ {rng.randint(1, 40)} ~\n", lambda: f"\nP a g e | {rng.randint(1, 40)}\n", lambda: f"{word()}_{word()}_{num()}.pdf", lambda: f"C:\\{word()}\\{word()}", lambda: f"D:\\{rng.choice(['item', 'text', 'date'])}\\{word()}\\{num()}.doc", lambda: f"{word()}_{word()[:2]}@{word()}.example",
         lambda: f"{word()}+{word()}@{word()}.example", lambda: "\n\n" + "_" * rng.randint(8, 300) + "\n\n", lambda: f"{word()} = {num()}", lambda: f"{word()}@{word()} {word()}!{word()} {word()}({word()}", lambda: f"{word()} ~{num()} {word()}", lambda: f"{word()} [at] {word()} [dot] {word()}", lambda: f"{word()}&{word()}", lambda: f"{num()} = {num()}", lambda: f"{word()} {word()}\n- {word()} {word()}\n{words()}", lambda: f"'{words()}' {word()}'s", lambda: f"{word()}\n+91-{num()}", lambda: f"** {num()} **" if rng.random() < 0.2 else f"{word()} * {word()}",
-        lambda: f"{word()}\n> {num()} {words()}", lambda: f"<{num()} {word()}>", lambda: f"<{word()} {num()}>", lambda: f"{word()} ({word()} | {word()})", lambda: f"{word()} {word()}\n* {num()} {words()}",
+        lambda: f"\n\n- {page()} -\n{words().title()}\n- {page()} -\n", lambda: f"\n\n- {page()} -\n{sentence()}", lambda: "\n\n" + "_" * rng.randint(300, 4000) + "\n\n", lambda: f"{word()}\n> {num()} {words()}", lambda: f"<{num()} {word()}>", lambda: f"<{word()} {num()}>", lambda: f"{word()} ({word()} | {word()})", lambda: f"{word()} {word()}\n* {num()} {words()}",
     ]
     x, y = [], []
     for _ in range(n):
@@ -244,12 +312,12 @@ def snippets(seed: int = 5, n: int = 900) -> tuple[np.ndarray, np.ndarray]:
             x.append(features(text, nodes))
             # code content and stray signs inside markup aren't markup of their own
             y += [float(want and n.lang != "") for n in nodes]
-        mixed = f"{sentence()} {rng.choice(no)()} {sentence()}\n\n{rng.choice(yes)()}"
-        cut = mixed.index("\n\n")
+        plain = f"{sentence()} {rng.choice(no)()} {sentence()}"
+        mixed = f"{plain}\n\n{rng.choice(yes)()}"
         nodes = parse(mixed)
         if nodes and rng.random() < 0.5:
             x.append(features(mixed, nodes))
-            y += [float(n.start >= cut and n.lang != "" and "\n\n" in mixed[:cut + 2]) for n in nodes]
+            y += [float(n.start >= len(plain) and n.lang != "") for n in nodes]
     return np.concatenate(x), np.array(y)
 
 
@@ -322,48 +390,77 @@ def language_of(nodes: list[Node], label: np.ndarray, text: str) -> list[str]:
 
 def clean(text: str, nodes: list[Node], label: np.ndarray) -> str:
     """Text without the accepted markup; headings, list lines, cells, code and formulas stay as plain lines."""
-    out, at = [], 0
-    for i, x in enumerate(nodes):
-        if x.start < at or not label[i]:
-            continue
-        out.append(text[at : x.start])
-        raw = text[x.start : x.end]
-        put = ""
-        if x.kind == "h_tag":
-            if x.name in ("style", "script") and not x.close:
-                x = nodes[x.pair] if x.pair >= 0 else x
-            elif x.name == "li" and not x.close:
-                put = "\n- "
-            elif x.name in ("td", "th") and x.close:
-                put = " | "
-            elif x.name in ("p", "div", "tr", "br", "ul", "ol", "table", "pre") or re.fullmatch(r"h[1-6]", x.name):
-                put = "\n"
-        elif x.kind == "h_entity":
-            put = html.unescape(raw)
-        elif x.kind in ("m_heading", "w_heading"):
-            put = raw.strip().strip("#=").strip()
-        elif x.kind == "m_bullet" or x.kind == "w_indent":
-            put = "- "
-        elif x.kind in ("m_row", "w_row"):
-            cells = [c.strip() for c in re.split(r"\|\||!!|\|", raw.strip().strip("!|"))]
-            put = " | ".join(c for c in cells if c.strip("-"))
-        elif x.kind in ("m_strong", "m_em", "m_strike", "m_code", "w_quote"):
-            put = raw.strip("*_~`'")
-        elif x.kind in ("m_link", "m_image"):
-            put = raw[raw.index("[") + 1 : raw.index("]")]
-        elif x.kind == "w_link":
-            put = raw[2:-2].split("|")[-1]
-        elif x.kind == "l_math":
-            put = raw.strip("$").removeprefix("\\(").removesuffix("\\)").removeprefix("\\[").removesuffix("\\]")
-        elif x.kind == "l_cmd":
-            put = "- " if x.name == "item" else re.sub(r"^\\[A-Za-z]+\*?(?:\[[^\]]*\])?", "", raw).replace("}{", " ").strip("{}") if "{" in raw and x.name not in ("ref", "label", "cite") else raw if x.name in ("sum", "times", "frac", "leq", "geq") else ""
-        elif x.kind == "l_esc":
-            put = raw[1:] if raw[1:2] not in ("\\", "") else ""
-        out.append(put)
-        at = x.end
-    out.append(text[at:])
-    joined = re.sub(r"[ \t]+\n", "\n", "".join(out))
-    return re.sub(r"\n{3,}", "\n\n", joined).strip()
+    done: dict[int, tuple[str, int]] = {}  # what stands for a node, and where the text goes on; spans after what is inside them
+    for i in range(len(nodes) - 1, -1, -1):
+        x = nodes[i]
+        if label[i]:
+            done[i] = put_for(text, nodes, x, done)
+        elif x.inner:
+            done[i] = render(text, nodes, x.start, x.end, x.inner, done), x.end
+    inside = {k for x in nodes for k in x.inner}
+    joined = render(text, nodes, 0, len(text), [i for i in range(len(nodes)) if i not in inside], done)
+    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", joined)).strip()
+
+
+def render(text: str, nodes: list[Node], a: int, b: int, ids: list[int], done: dict[int, tuple[str, int]]) -> str:
+    """text[a:b] with what stands for the nodes ids; others are kept as they are."""
+    out, at = [], a
+    for i in ids:
+        x = nodes[i]
+        if i in done and x.start >= at and x.end <= b:
+            put, go_on = done[i]
+            out += [text[at : x.start], put]
+            at = go_on
+    out.append(text[at:b])
+    return "".join(out)
+
+
+def put_for(text: str, nodes: list[Node], x: Node, done: dict[int, tuple[str, int]]) -> tuple[str, int]:
+    """What stands for an accepted node, and where the text goes on."""
+    raw = text[x.start : x.end]
+
+    def content(a: int, b: int) -> str:
+        return render(text, nodes, a, b, x.inner, done)
+
+    if x.kind == "h_tag":
+        if x.name in ("style", "script") and not x.close:
+            return "", nodes[x.pair].end if x.pair >= 0 else x.end
+        if x.name == "li" and not x.close:
+            return "\n- ", x.end
+        if x.name in ("td", "th") and x.close:
+            return " | ", x.end
+        block = x.name in ("p", "div", "tr", "br", "ul", "ol", "table", "pre") or re.fullmatch(r"h[1-6]", x.name)
+        return "\n" * bool(block), x.end
+    if x.kind == "h_entity":
+        return html.unescape(raw), x.end
+    if x.kind in ("m_heading", "w_heading", "m_strong", "m_strike", "m_em", "w_quote", "m_link", "m_image"):
+        return content(*content_of(x, text)), x.end
+    if x.kind in ("m_bullet", "w_indent"):
+        return "- ", x.end
+    if x.kind in ("m_row", "w_row"):
+        cells = [c.strip() for c in re.split(r"\|\||!!|\|", content(x.start, x.end).strip().strip("!|"))]
+        return " | ".join(c for c in cells if c.strip("-")), x.end
+    if x.kind == "m_code":
+        return raw.strip("`"), x.end
+    if x.kind in ("w_link", "w_call"):
+        bars = [x.start + m.start() for m in re.finditer(r"\|", raw)]
+        bars = [p for p in bars if not any(nodes[k].start <= p < nodes[k].end for k in x.inner)]
+        parts = [(p + 1, q) for p, q in zip([x.start + 1, *bars], [*bars, x.end - 2])]
+        if x.kind == "w_link":
+            return content(*parts[-1]), x.end
+        # of a template its unnamed values stay
+        return " ".join(content(p, q).strip() for p, q in parts[1:] if "=" not in text[p:q]), x.end
+    if x.kind == "l_math":
+        return raw.strip("$").removeprefix("\\(").removesuffix("\\)").removeprefix("\\[").removesuffix("\\]"), x.end
+    if x.kind == "l_cmd":
+        if x.name == "item":
+            return "- ", x.end
+        if x.args and x.name not in ("ref", "label", "cite"):
+            return " ".join(content(p, q) for p, q in x.args), x.end
+        return raw if x.name in ("sum", "times", "frac", "leq", "geq") else "", x.end
+    if x.kind == "l_esc":
+        return raw[1:] if raw[1:2] not in ("\\", "") else "", x.end
+    return "", x.end
 
 
 def judge(texts: list[str], model: BoostedTrees) -> Iterator[tuple[list[Node], np.ndarray]]:
