@@ -113,12 +113,52 @@ def test_spelling(spark):
     assert got == {1: "the receipt 42 ABC a@b zzzzzz is", 2: None, 3: "हिन्दी teh", 4: ""}
     assert spelling.edits("ab", "ba") == 1 and spelling.edits("abcdef", "abc") == 3
     assert spelling.correct(rows.limit(0), "text", terms).count() == 0
+    by_join = {r.id: r.corrected_text for r in spelling.correct(rows, "text", terms, max_terms=1).collect()}
+    assert by_join == got
+    part = {r.id: r.corrected_text for r in spelling.correct(rows, "text", terms, where="id > 1").collect()}
+    assert part == got | {1: "teh reciept 42 ABC a@b zzzzzz is"}
+
+
+def test_spelling_by_join_equals_the_broadcast(spark):
+    sheet = spark.read.parquet("/root/testdata/sf0.001/sheet3.parquet").select("record_id", "full_extracted_text", F.lit(1).alias("text_key"), F.lit("x").alias("changes"))
+    terms = spark.read.parquet("/root/testdata/sf0.001/spell_dictionary.parquet")
+    one, two = (sorted(map(tuple, spelling.correct(sheet, "full_extracted_text", terms, max_terms=n).collect()), key=str) for n in (500_000, 3))
+    assert one == two and one
+
+
+def test_spelling_model(spark):
+    terms = spark.createDataFrame([("the", 100)], "term string, term_count long")
+    rows = spark.createDataFrame([(1, "teh one"), (2, "teh"), (3, "teh null"), (4, "हिन्दी teh"), (5, "teh " * 700)], "id int, text string")
+    seen = {1: "THE ONE", 2: "  ", 3: None}
+
+    def fix(texts):
+        return texts.map(lambda t: seen[1] if t == "teh one" else seen[2] if t == "teh" else None if t == "teh null" else str(len(t)))
+
+    got = {r.id: r.corrected_text for r in spelling.correct(rows, "text", terms, model=fix).collect()}
+    assert got == {1: "THE ONE", 2: "teh", 3: "the null", 4: "हिन्दी teh", 5: "2000"}
+
+    def broken(texts):
+        raise RuntimeError("no model")
+
+    assert {r.id: r.corrected_text for r in spelling.correct(rows.limit(3), "text", terms, model=broken).collect()} == {1: "the the", 2: "the", 3: "the null"}
+
+
+def test_calls_that_fail_or_hang():
+    import time
+
+    from veilstone.operators import backends
+
+    with pytest.raises(TimeoutError):
+        backends.within(0.05, time.sleep, 2)
+    with pytest.raises(ZeroDivisionError):
+        backends.within(5, lambda: 1 / 0)
+    assert backends.each_or_none(lambda xs: [1 / x for x in xs], [1, 0, 2]) == [1.0, None, 0.5] and backends.each_or_none(lambda xs: xs[1:], [1, 2]) == [None, None]
 
 
 def make_records(spark):
     files = spark.createDataFrame([(1, "/a/x.JPG"), (2, "/a/y.txt"), (3, "/b/y.TXT"), (4, "/a/z.tif"), (5, "/a/w.png")], "record_id long, path string")
     raw = spark.createDataFrame([("/a/x.JPG", "Dr. Ravi Kumar has PAN ABCDE1234F"), ("/a/y.txt", " \n"), ("/b/y.TXT", "Shri Mohan of Pune")], "path string, raw_text string")
-    return records.with_correction(records.build_records(files, raw, ["record_id"]), F.col("raw_text"))
+    return records.with_language(records.build_records(files, raw, ["record_id"]).withColumn("corrected_text", F.col("raw_text")))
 
 
 def test_records(spark):
@@ -153,6 +193,49 @@ def test_report_with_scripted_models(spark):
         detectors.unregister("HiNER"), detectors.unregister("Presidio")
 
 
+def test_detectors_read_their_models_own_output(spark):
+    df = spark.createDataFrame([(1, "a " * 300 + "b" * 500), (2, "bad"), (3, None), (4, "  ")], "id int, t string")
+
+    def detect(texts, **asked):
+        assert not texts.eq("bad").any() or len(texts) == 1, "fails with others, and alone"
+        if texts.eq("bad").any():
+            raise ValueError
+        return texts.map(lambda t: [{"entity_group": "GIVENNAME", "word": "Ra##vi "}, {"entity_group": "GIVENNAME", "word": "RAVI"}, {"entity_group": "LEN", "word": str(len(t))}, {"entity_group": "X", "word": " "}])
+
+    got = {r.id: [(h.source, h.label, h.value) for h in r.h] for r in df.select("id", detectors.detector_hits("Piiranha", F.col("t"), detect).alias("h")).collect()}
+    assert got == {1: [("Piiranha", "GIVENNAME", "Ravi"), ("Piiranha", "LEN", "512")], 2: [], 3: [], 4: []}
+
+    def gliner(texts, labels, threshold):
+        assert len(labels) == 13 and threshold == 0.5
+        return texts.map(lambda t: [{"label": "bank account", "text": "1#2", "score": 0.7}, {"label": "person", "text": "low", "score": 0.4}])
+
+    assert [(h.label, h.value) for h in df.filter("id = 1").select(detectors.detector_hits("GLiNER", F.col("t"), gliner).alias("h")).first().h] == [("BANK_ACCOUNT", "1#2")]
+    presidio = lambda texts: texts.map(lambda t: [{"entity_type": "PERSON", "start": 0, "end": 3}])
+    named = spark.createDataFrame([("Ravi",), ("Ravi हिन्दी",)], "t string").select(detectors.detector_hits("Presidio", F.col("t"), presidio).alias("h")).collect()
+    assert [[h.value for h in r.h] for r in named] == [["Rav"], []]
+
+
+def test_entity_models_read_chunks_and_skip_those_they_fail_on(spark):
+    text = "".join(chr(97 + i % 26) for i in range(4000))
+
+    def detect(texts):
+        if any(t.startswith(text[1600:1610]) and len(t) == 1800 for t in texts):
+            raise ValueError
+        return texts.map(lambda t: [{"entity_group": "PER", "word": t[:3] + str(len(t))}])
+
+    row = spark.createDataFrame([(text,), (None,)], "t string").select(detectors.model_entities("x", F.col("t"), detect).alias("e")).collect()
+    assert [[e.value for e in r.e] for r in row] == [[text[:3] + "1800", text[3200:3203] + "800"], []]
+
+
+def test_bounds_of_words_in_any_script(spark):
+    """Where Unicode's words and ASCII's differ, as in Python."""
+    values = ["ABCDE1234Fक", "कABCDE1234F", "é1234 5678 9012", "x²345678901234", "2345 6789 0123é", "UHID: ABC12345क", "k@ı.İK", "a@b.com_x@y.org", "a.b.c@@d.ef"]
+    plain = {"Aadhaar": r"\b\d{4}[\s-]?\d{4}[\s-]?\d{4}\b", "PAN": r"\b[A-Z]{5}\d{4}[A-Z]\b", "Medical_UHID": r"(?i)\b(?:UHID|PMRN|IPD|EPISODE)[\s\:\.\-]*[A-Z]{2,6}[\.\-]?\d{5,15}\b", "Email": r"(?i)[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"}
+    for label, pattern in plain.items():
+        want = [[m.group() for m in re.finditer(pattern, v)] for v in values]
+        assert column(spark, values, lambda c, x=label: pii.matches(c, x)) == want, label
+
+
 def test_merge_keeps_first_by_priority(spark):
     df = spark.createDataFrame([([("Regex", "Email", "a@b.c")], [("GLiNER", "EMAIL", "A@B.C"), ("GLiNER", "PHONE", " ")])], f"a {pii.HIT}, b {pii.HIT}")
     got = df.select(pii.merge_hits(F.col("a"), F.col("b")).alias("x")).first().x
@@ -185,6 +268,60 @@ def test_readers(spark, tmp_path):
     assert readers.scan_files(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_ocr_chain(spark, tmp_path, monkeypatch):
+    for n in ("a", "b", "c", "d_x_"):
+        (tmp_path / f"{n}.PNG").write_bytes(n.encode())
+    files = readers.scan_files(spark, str(tmp_path))
+
+    def first(content):
+        if content == b"b":
+            raise OSError
+        return "" if content in (b"c", b"d_x_") else "\ufeff## **Head**\n<b>text</b> "
+
+    readers.register_backend("image", first, lambda c: "second" if c == b"b" else " ", lambda c: "third" if c == b"c" else None)
+    try:
+        got = {r.path.rsplit("/", 1)[-1]: r.raw_text for r in readers.read_texts(files).collect()}
+    finally:
+        readers.unregister_backend("image")
+    assert got == {"a.PNG": "Head\ntext", "b.PNG": "second", "c.PNG": "third", "d_x_.PNG": "[OCR EMPTY: dx.PNG]"}
+    monkeypatch.setattr(readers, "OCR_SECONDS", 0.2)
+    slow = lambda c: __import__("time").sleep(1) if c == b"2" else "ok"
+    assert readers.read_images(list("12345"), [b"1", b"2", b"3", b"4", b"5"], [slow]) == ["ok", "[OCR FAILED: 2]", "[OCR FAILED: 3]", "ok", "ok"]
+
+
+def test_images_are_made_smaller_and_sizes_fit(spark):
+    tried = []
+
+    def read(content, side):
+        tried.append(side)
+        if side > 600:
+            raise MemoryError
+        return "read"
+
+    assert readers.by_smaller_images(read)(b"") == "read" and tried == [2000, 1000, 500]
+    df = spark.createDataFrame([(4000, 1000), (1999, 2001), (10, 20)], "w int, h int").select(readers.fitted_size(F.col("w"), F.col("h")).alias("s"))
+    assert [tuple(r.s) for r in df.collect()] == [(2000, 500), (int(1999 * (2000 / 2001)), int(2001 * (2000 / 2001))), (10, 20)]
+
+
+def test_manifest_and_exchanged_texts(spark, tmp_path):
+    (tmp_path / "m.json").write_text('[{"image": "a.png", "out": "a.txt"},\n {"image": "b.png", "out": "b.txt"}]')
+    assert sorted(map(tuple, readers.manifest(spark, str(tmp_path / "m.json")).collect())) == [("a.png", "a.txt"), ("b.png", "b.txt")]
+    (tmp_path / "none.json").write_text("[]")
+    with pytest.raises(ValueError):
+        readers.manifest(spark, str(tmp_path / "none.json"))
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.txt").write_bytes("\ufeff text\n".encode() + b"\xff")
+    assert [r.text for r in readers.exchanged_texts(spark, str(tmp_path / "t")).collect()] == ["text\n\ufffd"]
+
+
+def test_pdf_pages_read_before_a_failure_count():
+    def pages(content):
+        yield "one\n\n two"
+        raise ValueError
+
+    assert readers.read_document(".pdf", b"", {"pdf": [lambda b: [], pages]}) == "one\ntwo"
+
+
 def test_workbook(spark, tmp_path):
     df = spark.createDataFrame([("a<b", 1, "Hindi", None), ("c", 2, "x", "[PAN] y")], "name string, n int, language string, detected_pii string")
     workbook.write_workbook(str(tmp_path / "r.xlsx"), {"Model Summary": df, "Empty": df.limit(0)})
@@ -192,6 +329,21 @@ def test_workbook(spark, tmp_path):
         sheet = z.read("xl/worksheets/sheet1.xml").decode()
         assert "a&lt;b" in sheet and sheet.count("<row") == 3 and 's="2"' in sheet
         assert z.read("xl/worksheets/sheet2.xml").decode().count("<row") == 1
+        assert '<col min="1" max="1" width="8" customWidth="1"/>' in sheet and len(z.namelist()) == 7
+
+
+def test_workbook_loses_nothing(spark, tmp_path):
+    from xml.etree import ElementTree
+
+    odd, long = "a\x07b\r\nc _x0007_ \ufffe", "क😀" * 30_000
+    df = spark.createDataFrame([(odd, long)], "pii string, t string")
+    workbook.write_workbook(str(tmp_path / "r.xlsx"), {"S": df})
+    with zipfile.ZipFile(tmp_path / "r.xlsx") as z:
+        cells = [[[t.text or "" for t in r.iter("{http://schemas.openxmlformats.org/spreadsheetml/2006/main}t")] for r in ElementTree.fromstring(z.read(f"xl/worksheets/sheet{i}.xml")).iter("{http://schemas.openxmlformats.org/spreadsheetml/2006/main}row")] for i in (1, 2)]
+        assert workbook.OVERFLOW in z.read("xl/workbook.xml").decode()
+    back = re.sub("_x([0-9A-F]{4})_", lambda m: chr(int(m.group(1), 16)), cells[0][1][0])
+    assert back == odd and cells[0][1][1] + "".join(r[-1] for r in cells[1][1:]) == long
+    assert all(len(p.encode("utf-16-le")) // 2 <= 32_767 for p in workbook.parts(long))
 
 
 def test_stream(spark, tmp_path):

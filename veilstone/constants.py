@@ -14,6 +14,8 @@ def start(first: str) -> str:
 
 END = f"(?!{W})"  # word boundary after a word character
 
+LETTERS = "a-zA-ZİıſK"  # of a class of Latin letters in any case
+
 IMAGE_EXTENSIONS = [".jpg", ".jpeg", ".png", ".bmp", ".webp", ".tiff"]
 DOCUMENT_EXTENSIONS = [".html", ".htm", ".pdf", ".docx", ".txt"]
 
@@ -44,7 +46,8 @@ PATTERNS = {
     "Aadhaar": rf"{start(D)}{D}{{4}}[{S_IN}\-]?{D}{{4}}[{S_IN}\-]?{D}{{4}}{END}",
     "PAN": rf"{start('[A-Z]')}[A-Z]{{5}}{D}{{4}}[A-Z]{END}",
     "Phone_Number": rf"(?:\+?91[{S_IN}\-]?)?[6-9]{D}{{9}}{END}|\+91[{S_IN}\-]?{D}{{2}}[{S_IN}\-]?{D}{{4}}[{S_IN}\-]?{D}{{4}}{END}",
-    "Email": r"(?iu)[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}",
+    # letters in any case, spelt out, and a start that no other of the word is tried after: many times faster
+    "Email": rf"(?:\G|(?<![{LETTERS}0-9._%+\-]))[{LETTERS}0-9._%+\-]+@[{LETTERS}0-9.\-]+\.[{LETTERS}]{{2,}}",
     "Medical_UHID": rf"(?iu){start('[UPIE]')}(?:UHID|PMRN|IPD|EPISODE)[{S_IN}:.\-]*[A-Z]{{2,6}}[.\-]?{D}{{5,15}}{END}",
     "Passport": rf"{start('[A-Y]')}[A-PR-WY][1-9]{D}{{7}}{END}",
     "Voter_ID": rf"{start('[A-Z]')}[A-Z]{{3}}{D}{{7}}{END}",

@@ -21,13 +21,22 @@ def value_key(value: Column) -> Column:
     return F.lower(F.regexp_replace(value, rf"[{S_IN}\-]", ""))
 
 
-def label_hits(normal: Column, label: str) -> Column:
-    """Values of one pattern in normalised text, first of each kind."""
+def matches(normal: Column, label: str) -> Column:
+    """All values of one pattern in normalised text, in order."""
     every = F.regexp_extract_all(normal, F.lit(PATTERNS[label]), F.lit(0))
     if label in MUST_HAVE:  # the sign is looked for first: the pattern would try every word
         every = F.when(F.contains(normal, F.lit(MUST_HAVE[label])), every).otherwise(F.array().cast("array<string>"))
-    found = F.transform(every, strip)
-    return let(F.filter(found, lambda v: ~F.upper(v).isin(EXCLUDED_ORGS)), lambda a: keep_first(a, value_key))
+    return every
+
+
+def firsts(values: Column) -> Column:
+    """Values of a pattern without outer white space, excluded words and repeats."""
+    return let(F.filter(F.transform(values, strip), lambda v: ~F.upper(v).isin(EXCLUDED_ORGS)), lambda a: keep_first(a, value_key))
+
+
+def label_hits(normal: Column, label: str) -> Column:
+    """Values of one pattern in normalised text, first of each kind."""
+    return firsts(matches(normal, label))
 
 
 def places(text: Column) -> Column:
@@ -36,11 +45,13 @@ def places(text: Column) -> Column:
 
 
 def regex_hits(text: Column) -> Column:
-    def tag(values: Column, label: str) -> Column:
-        return F.transform(values, lambda v: F.struct(F.lit("Regex").alias("source"), F.lit(label).alias("label"), v.alias("value")))
+    def tag(values: Column, label: Column) -> Column:
+        return F.transform(values, lambda v: F.struct(F.lit("Regex").alias("source"), label.alias("label"), v.alias("value")))
 
-    by_pattern = let(normalise_digits(text), lambda n: F.concat(*[tag(label_hits(n, x), x) for x in PATTERNS]))
-    return F.coalesce(F.concat(by_pattern, tag(places(text), "Location")), F.array().cast(HIT))
+    # what is done with the values is said once for all patterns: a column of columns takes long to build and to plan
+    raw = let(normalise_digits(text), lambda n: F.array(*[F.struct(F.lit(x).alias("label"), matches(n, x).alias("values")) for x in PATTERNS]))
+    by_pattern = F.flatten(F.transform(F.filter(raw, lambda p: F.size(p["values"]) > 0), lambda p: tag(firsts(p["values"]), p["label"])))
+    return F.coalesce(F.concat(by_pattern, tag(places(text), F.lit("Location"))), F.array().cast(HIT))
 
 
 def merge_hits(*sources: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from veilstone.constants import EXCLUDED_ORGS
-from veilstone.functions.text import keep_first, let, missed_words, strip, title_names
+from veilstone.functions.text import keep_first, let, strip, title_names, unfound
 
 GROUPS = {"PER": ["PER", "PERSON", "NAME"], "ORG": ["ORG", "ORGANIZATION", "ORGANISATION"], "LOC": ["LOC", "LOCATION", "GPE", "FAC"]}
 ENTITIES = "array<struct<label:string,value:string>>"
@@ -31,15 +31,21 @@ def bucket(entities: Column, group: str) -> Column:
     return F.transform(F.filter(entities, lambda e: e["label"] == group), lambda e: e["value"])
 
 
-def all_names(text: Column, entities: Column) -> Column:
+def titled_names(text: Column) -> Column:
+    """Names after titles that count as names."""
+    return F.filter(F.transform(title_names(text), strip), lambda n: (n != "") & (n != "None") & ~F.upper(n).isin(EXCLUDED_ORGS))
+
+
+def all_names(titled: Column, entities: Column) -> Column:
     """Names after titles, then persons of the model; first spelling of each."""
-    titled = F.filter(F.transform(title_names(text), strip), lambda n: (n != "") & (n != "None"))
-    both = F.filter(F.concat(titled, bucket(entities, "PER")), lambda n: ~F.upper(n).isin(EXCLUDED_ORGS))
-    return let(both, lambda a: keep_first(a, F.lower))
+    return let(F.concat(titled, bucket(entities, "PER")), lambda a: keep_first(a, F.lower))
+
 
+def comparison(titled: Column, words: Column, entities: Column) -> Column:
+    """Struct of one model's report: n_names, n_orgs, n_locs, predicted_type, extracted_text, missed_entities.
 
-def comparison(text: Column, entities: Column) -> Column:
-    """Struct of one model's report: names, orgs, locs, predicted_type, extracted_text, missed_entities."""
+    titled, words: titled_names() and capital_words() of the text, which all models share.
+    """
 
     def build(p: Column) -> Column:
         names, orgs, locs = p["n"], p["o"], p["l"]
@@ -47,7 +53,7 @@ def comparison(text: Column, entities: Column) -> Column:
         types = F.array_compact(F.array(*[F.when(F.size(a) > 0, g) for g, a in parts]))
         texts = F.array_compact(F.array(*[F.when(F.size(a) > 0, F.concat(F.lit(g + ": "), F.array_join(a, " | "))) for g, a in parts]))
         found = F.transform(F.concat(names, orgs, locs), F.lower)
-        missed = let(found, lambda f: missed_words(text, f))
+        missed = let(found, lambda f: unfound(words, f))
 
         def or_none(a: Column, sep: str) -> Column:
             return F.when(F.size(a) == 0, "None").otherwise(F.array_join(a, sep))
@@ -58,5 +64,5 @@ def comparison(text: Column, entities: Column) -> Column:
         )
 
     return let(
-        buckets(entities), lambda b: let(F.struct(all_names(text, b).alias("n"), bucket(b, "ORG").alias("o"), bucket(b, "LOC").alias("l")), build)
+        buckets(entities), lambda b: let(F.struct(all_names(titled, b).alias("n"), bucket(b, "ORG").alias("o"), bucket(b, "LOC").alias("l")), build)
     )

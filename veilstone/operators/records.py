@@ -51,6 +51,6 @@ def build_records(files: DataFrame, texts: DataFrame, keys: list[str]) -> DataFr
     )
 
 
-def with_correction(records: DataFrame, corrected: Column) -> DataFrame:
-    """Adds corrected_text (the raw text of failed records) and language (of the raw text)."""
-    return records.withColumn("corrected_text", F.when(F.col("is_failed"), F.col("raw_text")).otherwise(corrected)).withColumn("language", language(F.col("raw_text")))
+def with_language(records: DataFrame) -> DataFrame:
+    """Adds language, that of the raw text."""
+    return records.withColumn("language", language(F.col("raw_text")))
