@@ -290,3 +290,24 @@ def test_queries_on_empty_and_odd_tables(spark, folders, name):
     assert odd_rows
     if name in ("p1_found", "p2_found", "p3_found", "p10_found"):  # null and repeated rows add no case, models don't shift them
         assert odd_rows >= set(map(str, rows(queries.QUERIES[name](spark, DATA)))) if name != "p10_found" else True
+
+
+def test_long_words_are_compared_as_short_ones_are_undone():
+    rng = random.Random(5)
+    forms = list(scan_noise.CONFUSED.items())
+    for _ in range(200):
+        true = "".join(rng.choice("abcdeghlmostuw") for _ in range(12))
+        w = true
+        for _ in range(rng.randint(0, 2)):
+            read, ways = rng.choice(forms)
+            at = [i for i in range(len(w)) for t in ways if w.startswith(t, i)]
+            if at:
+                i = rng.choice(at)
+                w = w[:i] + read + w[i + len(next(t for t in ways if w.startswith(t, i))) :]
+        channel = scan_noise.Channel(100, {true: 3, w: 1}, {})
+        once = set(channel.undo(w))
+        twice = {c for a in once for c in channel.undo(a)}
+        assert scan_noise.becomes(w, true, 1) == (true in once or w == true) and scan_noise.becomes(w, true, 2) == (true in once | twice or w == true)
+    long = "counter" * 12
+    channel = scan_noise.Channel(1000, {long: 30, long.replace("e", "c", 1): 1}, {})
+    assert [c for c, _ in channel.search(long.replace("e", "c", 1))] == [long.replace("e", "c", 1), long]

@@ -39,6 +39,7 @@ CLASSES = ("i1!|e(rf5$90@", "llllccntssgoa"), [("q", "g"), ("u", "ll"), ("h", "l
 _CONFUSABLE = re.compile("|".join(re.escape(x) for x in CONFUSED))
 LOG_CONFUSE, LOG_TWO = math.log(0.01), math.log(0.001)  # one confused character, two of them
 LOG_SIGN = math.log(1e-4)  # that a true word holds a digit or sign between letters
+UNDONE = 60  # characters up to which all ways to put a word right are tried; longer ones are compared with known words
 ALPHA = 0.05  # count of a word never seen
 PAIR = 0.7  # weight of the word-pair model against single words
 MARKS = "-‐‑¬­~–"
@@ -58,15 +59,29 @@ _NUMBER = re.compile(r"(?=[^A-Za-z]*[OolI])(?!\d{4}[A-Z]$)[+(]{0,2}[\dOolI][\dOo
 _END = re.compile(r"[.!?।॥。！？۔؟…:;,]\W*$")
 
 
+class Numbers(dict):
+    """What number() makes of a token, kept."""
+
+    def __missing__(self, raw: str) -> str | None:
+        if len(self) > 300_000:
+            self.clear()
+        self[raw] = x = None if raw.isalpha() else Cleaner.number(raw)
+        return x
+
+
 class Words(dict):
     """Normalised form of a raw token, kept; '' for tokens that hold no Latin word."""
 
+    def __init__(self):
+        super().__init__()
+        self.numbers = Numbers()
+
     def __missing__(self, raw: str) -> str:
         w = raw.lower().rstrip(_STRIP_R)
         if w[:1] != "(" or not _LATIN.match(w[1:2]) or ")" in w:
             w = w.lstrip(_STRIP_L)
         w = w.lstrip("\"'“‘[{«<")
-        if len(w) < 2 or len(w) > 40 or not _LATIN.search(w) or _is_code(w):
+        if len(w) < 2 or not _LATIN.search(w) or _is_code(w):
             w = ""
         if len(self) > 300_000:
             self.clear()
@@ -124,6 +139,16 @@ def all_candidates(counts: DataFrame, total: int) -> DataFrame:
     return flat_map(groups, make, "word string, options array<struct<word:string,p:double>>")
 
 
+def becomes(w: str, c: str, most: int) -> bool:
+    """Whether up to most confused characters put right turn w into c; a read form and its true one differ in their first character."""
+    i = 0
+    while i < len(w) and i < len(c) and w[i] == c[i]:
+        i += 1
+    if w[i:] == c[i:]:
+        return True
+    return most > 0 and any(w.startswith(read, i) and c.startswith(true, i) and becomes(w[i + len(read) :], c[i + len(true) :], most - 1) for read, ways in CONFUSED.items() for true in ways)
+
+
 class Channel:
     """Candidates of words and the decoding of lines."""
 
@@ -134,6 +159,17 @@ class Channel:
     def n(self, key: str) -> int:
         return self.counts.get(self.of(key), 0)
 
+    def one(self, w: str) -> set[str]:
+        """Known words that w becomes with one confused character put right; long words are compared with the others of their form."""
+        if len(w) > UNDONE:
+            return {c for c in self.counts if c != w and becomes(w, c, 1)}
+        return set(self.undo(w))
+
+    def two(self, w: str, first: set[str]) -> set[str]:
+        if len(w) > UNDONE:
+            return {c for c in self.counts if c != w and c not in first and becomes(w, c, 2)}
+        return {c for a in first for c in self.undo(a)} - first - {w}
+
     def undo(self, w: str) -> Iterator[str]:
         for i in range(len(w)):
             for size in (1, 2):
@@ -159,21 +195,22 @@ class Channel:
         stay = self.prior(w, 1) + itself[1]
         # a word so frequent that no other can outdo it has no candidates
         if self.n(w) * math.exp(LOG_CONFUSE) < self.total * 0.08 or odd:
-            first = set(self.undo(w)) if len(w) > 2 else set()
+            first = self.one(w) if len(w) > 2 else set()
             for c in first:
                 if self.n(c) > 1 and self.prior(c) + LOG_CONFUSE > stay - 3 and not any(x in SIGNS for x in c):
                     out.append((c, LOG_CONFUSE))
-            if len(out) == 1 and (odd or self.n(w) <= 3) and len(w) > 3:
-                for a in list(first):
-                    for c in self.undo(a):
-                        if c not in first and c != w and self.n(c) > 2 and self.prior(c) + LOG_TWO > stay and not any(x in SIGNS for x in c):
-                            out.append((c, LOG_TWO))
-            out = out[:1] + sorted(set(out[1:]), key=lambda x: -(self.prior(x[0]) + x[1]))[:6]
+            if len(out) == 1 and len(w) > 3:
+                for c in self.two(w, first):
+                    if self.n(c) > 2 and self.prior(c) + LOG_TWO > stay and not any(x in SIGNS for x in c):
+                        out.append((c, LOG_TWO))
+            out = out[:1] + sorted(out[1:], key=lambda x: (-(self.prior(x[0]) + x[1]), x[0]))
         return out
 
     def asked(self, line: list[str]) -> Iterator[str]:
         """Words and pairs whose counts decide on a line; elsewhere all its readings have the same."""
-        options = [[c for c, _ in self.candidates(w)] if w else [""] for w in line]
+        if self.options.keys().isdisjoint(line):
+            return
+        options = [[c for c, _ in self.options[w]] if w in self.options else [w] for w in line]
         for i, o in enumerate(options):
             before = options[i - 1] if i else [""]
             if len(o) > 1 or len(before) > 1:
@@ -190,9 +227,9 @@ class Channel:
 
     def decode(self, line: list[str]) -> list[str]:
         """Most likely true words of one line."""
-        options = [self.candidates(w) if w else [("", 0.0)] for w in line]
-        if all(len(o) == 1 for o in options):
+        if self.options.keys().isdisjoint(line):
             return line
+        options = [self.candidates(w) if w else [("", 0.0)] for w in line]
         best = [(self.step("", c, int(c == line[0])) if c else 0.0) + p for c, p in options[0]]
         back: list[list[int]] = []
         for i in range(1, len(line)):
@@ -230,6 +267,7 @@ def title_key(line: str) -> str:
 class Cleaner:
     def __init__(self, channel: Channel, words: Words | None = None):
         self.channel, self.words = channel, Words() if words is None else words
+        self.numbers = self.words.numbers
 
     def kept(self, text: str) -> tuple[set[str], list[str]]:
         """Kinds of noise lines, and the other lines."""
@@ -238,7 +276,7 @@ class Cleaner:
         bare = []
         for i, line in enumerate(lines):
             s = line.strip()
-            if len(s) > 30 or not s:
+            if not s:
                 continue
             if _PAGE.fullmatch(s):
                 kind[i] = "page_number"
@@ -249,11 +287,13 @@ class Cleaner:
         if bare and (len(lines) > 2):
             for i in bare:
                 kind[i] = "page_number"
-        count = Counter(title_key(x) for i, x in enumerate(lines) if 3 < len(x.strip()) < 90 and not kind[i])
-        for i, line in enumerate(lines):
-            s = line.strip()
-            if not kind[i] and 3 < len(s) < 90 and count[title_key(line)] > 1 and self.is_title(s) and self.is_furniture(lines, kind, title_key(line)):
-                kind[i] = "running_header"
+        titles = {i for i, x in enumerate(lines) if not kind[i] and self.is_title(x.strip())}
+        if titles:
+            keys = [title_key(x) if not kind[i] and len(x.strip()) > 3 else "" for i, x in enumerate(lines)]
+            count = Counter(keys)
+            for i in sorted(titles):
+                if keys[i] and count[keys[i]] > 1 and self.is_furniture(lines, kind, keys, keys[i]):
+                    kind[i] = "running_header"
         return {k for k in kind if k}, [x for x, k in zip(lines, kind) if not k]
 
     def asked(self, text: str) -> set[str]:
@@ -309,10 +349,10 @@ class Cleaner:
         return len(s.split()) > 1
 
     @staticmethod
-    def is_furniture(lines: list[str], kind: list[str], key: str) -> bool:
+    def is_furniture(lines: list[str], kind: list[str], keys: list[str], key: str) -> bool:
         """A title that stands between blank lines each time is a heading of the text; one that touches it is not."""
-        for i, line in enumerate(lines):
-            if title_key(line) == key:
+        for i in range(len(lines)):
+            if keys[i] == key:
                 above = lines[i - 1].strip() if i else ""
                 below = lines[i + 1].strip() if i + 1 < len(lines) else ""
                 if above and kind[i - 1] != "page_number" or below and kind[i + 1] != "page_number" or above and below:
@@ -336,7 +376,7 @@ class Cleaner:
                 raw[i] = self.put(raw[i], w, c)
                 changed = True
         for i, t in enumerate(raw):
-            if (x := self.number(t)) is not None:
+            if (x := self.numbers[t]) is not None:
                 noise.add("misread")
                 raw[i] = x
                 changed = True
