@@ -1,7 +1,7 @@
 """Problem 2: splitting oversized items at natural boundaries.
 
 Balanced targets: the minimum number of pieces is computed, equal-length targets are placed, each is snapped to
-the strongest boundary near it, and a piece is added whenever a limit fails. Consecutive pieces share exactly
+the strongest boundary near it, and a piece is added whenever a limit fails; targets are balanced anew after each cut. Consecutive pieces share exactly
 `overlap` characters; only a stretch without any white space forces a cut inside a word.
 
 Positions and lengths count Unicode code points. Null and empty texts give no pieces, texts up to the limit one.
@@ -41,46 +41,49 @@ def boundaries(text: str) -> tuple[list[int], list[float]]:
 
 
 def plan(n: int, at: list[int], strength: list[float], limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
-    """(start, end) of the pieces, 0-based and half-open."""
+    """(start, end) of the pieces, 0-based and half-open.
+
+    Each cut is planned from where the last one fell, so a stretch without boundaries costs the balance of no other part.
+    """
     if n <= limit:
         return [(0, n)] if n else []
-    step = limit - overlap
-    least = -(-(n - overlap) // step)
-    for count in range(least, 2 * least + 2):
-        pieces, start = [], 0
-        for left in range(count, 0, -1):
-            if left == 1:
-                if n - start <= limit:
-                    pieces.append((start, n))
-                break
-            target = start + overlap + (n - start - overlap) / left
-            reach = step / 2
-            low = max(start + overlap + 1, n - overlap - (left - 1) * step + overlap if left > 1 else 0, int(target - reach))
-            high = min(start + limit, int(target + reach))
-            low = max(low, n - (left - 1) * step)
-            i, j = bisect_left(at, low), bisect_right(at, high)
-            if i >= j:
-                break
-            best = max(range(i, j), key=lambda k: (strength[k] - 3 * abs(at[k] - target) / reach, -at[k]))
-            pieces.append((start, at[best]))
-            start = at[best] - overlap
-        if len(pieces) == count:
-            return pieces
-    return forced(n, at, strength, limit, overlap)
-
-
-def forced(n: int, at: list[int], strength: list[float], limit: int, overlap: int) -> list[tuple[int, int]]:
-    """For texts in which no balanced plan meets the limit: the last boundary within reach, else a cut at the limit."""
+    # boundaries that a stretch too long to be skipped follows: up to each the pieces are balanced by themselves
+    walls = [x for x, y in zip(at, [*at[1:], n]) if y - x > limit - overlap]
     pieces, start = [], 0
     while n - start > limit:
-        j = bisect_right(at, start + limit) - 1
-        end = at[j] if j >= 0 and at[j] > start + overlap else start + limit
+        k = bisect_right(walls, start + overlap)
+        end = snapped(walls[k] if k < len(walls) else n, start, at, strength, limit, overlap)
         pieces.append((start, end))
         start = end - overlap
     pieces.append((start, n))
     return pieces
 
 
+def snapped(n: int, start: int, at: list[int], strength: list[float], limit: int, overlap: int) -> int:
+    """End of the piece at start, of a text that is to be cut up to n: the strongest boundary near the balanced target.
+
+    If no boundary is near, pieces are added; where no number of pieces helps, the last boundary within reach is
+    taken, without any the limit.
+    """
+    if n - start <= limit:
+        return n
+    step = limit - overlap
+    least = -(-(n - start - overlap) // step)
+    for left in range(least, 2 * least + 2):
+        target = start + overlap + (n - start - overlap) / left
+        reach = step / 2
+        low = max(start + overlap + 1, int(target - reach), n - (left - 1) * step)
+        high = min(start + limit, int(target + reach))
+        i, j = bisect_left(at, low), bisect_right(at, high)
+        if i < j:
+            best = max(range(i, j), key=lambda k: (strength[k] - 3 * abs(at[k] - target) / reach, -at[k]))
+            return at[best]
+        if target - reach <= start + overlap + 1:  # all that is in reach has been tried
+            break
+    j = bisect_right(at, start + limit) - 1
+    return at[j] if j >= 0 and at[j] > start + overlap else start + limit
+
+
 def split_text(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """One row per piece: id, piece_no from 1, start_pos from 1, piece, cut ('whole', 'natural' or 'forced').
 
@@ -114,8 +117,17 @@ def p2_found(spark, sf_dir: str) -> DataFrame:
     return pieces.filter("piece_no = 1").select("record_id", "cut").distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces}
+def p2_rejoined(spark, sf_dir: str) -> DataFrame:
+    """Round trip: the MD5 of each text put together again from its pieces, without what they share; and the longest piece under the limit."""
+    pieces = p2_pieces(spark, sf_dir).filter("record_id IS NOT NULL")
+    own = F.when(F.col("piece_no") == 1, F.col("piece")).otherwise(F.substring("piece", OVERLAP + 1, LIMIT))
+    whole = pieces.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("piece_no", own.alias("own")))).alias("p"), F.max(F.length("piece")).alias("longest"))
+    return whole.select("record_id", F.md5(F.array_join(F.transform("p", lambda x: x["own"]), "").cast("binary")).alias("text_md5"), (F.col("longest") <= LIMIT).alias("within_limit"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p2_rejoined": p2_rejoined}
 ORACLES = {
+    "p2_rejoined": "SELECT DISTINCT record_id, md5(spell_corrected_text) AS text_md5, true AS within_limit FROM sheet2 WHERE record_id IS NOT NULL AND length(spell_corrected_text) > 0",
     "p2_found": r"""
         SELECT DISTINCT record_id,
                CASE WHEN list_max(list_transform(regexp_split_to_array(spell_corrected_text, '[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]+'), lambda w: length(w))) > 1800
