@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
@@ -36,5 +37,16 @@ def flat_map(df: DataFrame, make: Callable[[], Callable[..., Iterator[tuple]]],
     return df.mapInArrow(run, schema)
 
 
+def sample(df: DataFrame, n: int) -> DataFrame:
+    """Some n rows of df drawn by their hash: the same at any order and layout of the rows, spread over all of them.
+
+    Small tables are taken whole. Repeats of a row are drawn together, so the columns should tell rows apart.
+    """
+    total = df.count()  # from the files' footers
+    if total <= n:
+        return df
+    return df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30)) < int(n / total * (1 << 30)))
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -8,7 +8,7 @@ mark ends paragraphs tells abbreviations that never do (titles, "No.") from thos
 Blank lines always end a sentence, single line ends never; marks inside quotations and brackets end nothing.
 Marks without letters or digits after them (emoji) belong to the sentence before.
 
-Training reads at most SAMPLE_ROWS rows; every text asked for is split whole. Null and empty texts have no
+Training takes some SAMPLE_ROWS rows, drawn by hash; every text asked for is split whole. Null and empty texts have no
 sentences; sentinel texts are one. Repeated rows give repeated results, reported once by p3_found.
 """
 
@@ -16,22 +16,25 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilstone.llm.batches import SENTINEL, flat_map, table
+from veilstone.llm.batches import SENTINEL, flat_map, sample, table
 from veilstone.llm.maxent import MaxEnt
 
-SAMPLE_ROWS = 3000  # rows read for training at most
+SAMPLE_ROWS = 3000  # rows of the training sample
 PAIRS = {'"': '"', "“": "”", "«": "»", "「": "」", "『": "』", "„": "“", "(": ")", "[": "]", "（": "）"}
 CLOSERS = "\"”’»」』)\\]）*_'"
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")
 _MARK = re.compile(rf"(?:[.!?।॥؟۔…]+[{CLOSERS}]*(?=\s|$)|[。！？।॥۔؟][。！？।॥۔؟!?]*[{CLOSERS}]*)")
 _TOKEN = re.compile(r"\S+$")
 _DIGITS = re.compile(r"\d+")
+_SPACES = re.compile(r"\s*")
 _NEXT = re.compile(r"\s*[\"“«「『(\[（'‘*_]*(\S+)")
 
 
@@ -94,15 +97,17 @@ class Candidate:
 def candidates(text: str, a: int, b: int, ends: Counter, total: Counter) -> Iterator[Candidate]:
     """Marks of one paragraph that stand outside quotations and brackets, with their features."""
     inside = enclosed(text, a, b)
+    starts, furthest = [x for x, _ in inside], list(accumulate((y for _, y in inside), max))
+    opened = {y: x for x, y in inside}  # by their closers
     for m in _MARK.finditer(text, a, b):
         s, e = m.span()
-        hit = next(((x, y) for x, y in inside if x < s <= y), None)
         closes = False
-        if hit is not None:
+        k = bisect_left(starts, s)
+        if k and furthest[k - 1] >= s:
             # the outermost enclosure must be closed by this very candidate
-            if max(y for x, y in inside if x < s <= y) >= e:
+            if furthest[k - 1] >= e:
                 continue
-            closes = text[hit[1]] in '"”»」』'
+            closes = text[min((opened[y], y) for y in range(s, e) if opened.get(y, s) < s)[1]] in '"”»」』'
         c = Candidate()
         c.start, c.end, c.mark = s, e, text[s]
         tok = _TOKEN.search(text, max(a, s - 40), s)
@@ -192,12 +197,15 @@ class SentenceModel:
         out: list[tuple[int, int]] = []
         for a, b in paragraphs(text):
             start = a
+            last = next((i for i in range(b - 1, a - 1, -1) if text[i].isalnum()), -1)
+            first = a  # of the letters and digits from start on
             for c in candidates(text, a, b, self.ends, self.total):
                 if c.last or self.model.score(c.features) > 0:
-                    rest = text[c.end : b]
-                    if not any(x.isalnum() for x in rest):
+                    if c.end > last:
                         break
-                    if any(x.isalnum() for x in text[start : c.end]):
+                    while first < c.end and not text[first].isalnum():
+                        first += 1
+                    if first < c.end:
                         # marks that follow before the next word belong here (emoji)
                         k = c.end
                         for i in range(c.end, b):
@@ -207,7 +215,7 @@ class SentenceModel:
                             elif not x.isspace():
                                 break
                         out.append((start, k))
-                        start = k + len(text[k:b]) - len(text[k:b].lstrip())
+                        start = first = _SPACES.match(text, k, b).end()
             if any(x.isalnum() for x in text[start:b]) or not out:
                 out.append((start, b))
             elif start < b and out:
@@ -216,7 +224,7 @@ class SentenceModel:
 
 
 def train(df: DataFrame, text_col: str, sample_rows: int = SAMPLE_ROWS) -> SentenceModel:
-    rows = df.select(F.col(text_col).alias("t")).filter(F.col("t").isNotNull() & ~F.col("t").rlike(SENTINEL)).limit(sample_rows)
+    rows = sample(df.select(F.col(text_col).alias("t")), sample_rows).filter(F.col("t").isNotNull() & ~F.col("t").rlike(SENTINEL))
     return SentenceModel().fit([r.t for r in rows.collect()])
 
 
@@ -250,5 +258,16 @@ def p3_found(spark, sf_dir: str) -> DataFrame:
     return split_sentences(checked, "record_id", "full_extracted_text", model).select("record_id", "end_pos").distinct()
 
 
-QUERIES = {"p3_found": p3_found, "p3_sentences": p3_sentences}
-ORACLES: dict[str, str] = {}
+def p3_rejoined(spark, sf_dir: str) -> DataFrame:
+    """Round trip: the MD5 of the letters, marks and digits of each record's sentences put together again; signs alone make no sentence."""
+    parts = p3_sentences(spark, sf_dir).filter("record_id IS NOT NULL").select("record_id", "sentence_no", F.regexp_replace("sentence", f"[^{_KEPT}]+", "").alias("s")).filter("s <> ''")
+    whole = parts.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("sentence_no", "s"))).alias("p"))
+    return whole.select("record_id", F.md5(F.array_join(F.transform("p", lambda x: x["s"]), "").cast("binary")).alias("text_md5"))
+
+
+_KEPT = r"\p{L}\p{M}\p{N}"
+QUERIES = {"p3_found": p3_found, "p3_sentences": p3_sentences, "p3_rejoined": p3_rejoined}
+ORACLES = {
+    "p3_rejoined": rf"""SELECT DISTINCT record_id, md5(regexp_replace(full_extracted_text, '[^{_KEPT}]+', '', 'g')) AS text_md5 FROM sheet3
+        WHERE record_id IS NOT NULL AND regexp_replace(full_extracted_text, '[^{_KEPT}]+', '', 'g') <> ''""",
+}
