@@ -5,7 +5,7 @@ temperature fitted on held-out segments and rejection of unsure ones. A document
 within them Latin and other letters apart); each gets a language and a calibrated confidence. Two languages that
 hold at least a fifth of the accepted letters each make the document `mul`.
 
-Training uses at most SAMPLE_ROWS labelled rows; a segment counts only if its row's label agrees with its script
+Training uses some SAMPLE_ROWS rows, drawn by hash; a segment counts only if its row's label agrees with its script
 and, where a script serves several languages, with frequent function words (labels here are often wrong). All
 rows are judged, whole.
 
@@ -27,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilstone.llm.batches import SENTINEL, table
+from veilstone.llm.batches import SENTINEL, sample, table
 
 CLASSES = ["en", "hi", "hi-Latn", "mr", "bn", "ta", "ur", "ja", "zh"]
 LANG_OF = ["en", "hi", "hi", "mr", "bn", "ta", "ur", "ja", "zh"]
-SAMPLE_ROWS = 4000  # rows read for training at most
+SAMPLE_ROWS = 4000  # rows of the training sample
+SEGMENTS = 40  # training segments of a text at most
 PER_CLASS = 300  # training segments per class at most
 BUCKETS, DIM, EPOCHS, RATE, BATCH = 1 << 14, 16, 8, 2.0, 32
 SMOOTH = 0.02  # label smoothing: keeps confidences off 1
@@ -47,7 +48,7 @@ LABELS = {
     "mul": "mul mixed multiple multilingual",
 }
 UNKNOWN = ["", "unknown", "und", "none", "n/a", "na", "null", "nan", "undetermined", "unk", "-", "--", "?", "??", "not known", "other"]
-# Frequent function words that confirm a label where a script serves several languages.
+# A chosen list: frequent function words that confirm a label where a script serves several languages.
 CONFIRM = {
     "en": "the of and to a in is was for on at by that with not has before from without we our my this are be it he as",
     "hi-Latn": "ke ko ne ka ki hai se par nahi kar aur mein bhi diya ya yeh kya mera hui thi raha kiya liya",
@@ -284,13 +285,12 @@ def code_of(label: Column) -> Column:
 
 
 def train(df: DataFrame, label_col: str, text_col: str, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
-    """Fit on at most sample_rows labelled rows of df."""
-    rows = df.select(code_of(F.col(label_col)).alias("label"), F.col(text_col).alias("text")).filter(
-        F.col("label").isin(list(LABELS)) & ~F.col("text").rlike(SENTINEL)
-    )
+    """Fit on the labelled ones of some sample_rows rows of df."""
+    drawn = sample(df.select(F.col(label_col).alias("label"), F.col(text_col).alias("text")), sample_rows).withColumn("label", code_of(F.col("label")))
+    rows = drawn.filter(F.col("label").isin(list(LABELS)) & ~F.col("text").rlike(SENTINEL))
     taken: dict[int, list] = {}
-    for label, text in rows.limit(sample_rows).collect():
-        for words in segments(text)[:40]:
+    for label, text in sorted(map(tuple, rows.collect())):
+        for words in segments(text)[:SEGMENTS]:
             c = reliable_class(words, label)
             if c is not None and len(taken.setdefault(c, [])) < PER_CLASS:
                 taken[c].append(words)
@@ -303,6 +303,14 @@ def train(df: DataFrame, label_col: str, text_col: str, sample_rows: int = SAMPL
 _judges: dict[int, Judge] = {}
 
 
+def judge_of(bucket_table: np.ndarray) -> Judge:
+    """The worker's judge for a broadcast model, built once; it holds the table, so its id isn't used again."""
+    if id(bucket_table) not in _judges:
+        _judges.clear()
+        _judges[id(bucket_table)] = Judge(bucket_table)
+    return _judges[id(bucket_table)]
+
+
 def tag(df: DataFrame, id_col: str, label_col: str, text_col: str, model: LanguageModel, with_segments: bool = False) -> DataFrame:
     """id, label (code of the given label), lang, confidence; with_segments: one row per segment instead.
 
@@ -313,7 +321,7 @@ def tag(df: DataFrame, id_col: str, label_col: str, text_col: str, model: Langua
     out = f"{id_col} {kind}, " + ("segment_no int, segment string, lang string, confidence double" if with_segments else "label string, lang string, confidence double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = _judges.setdefault(id(shared.value), Judge(shared.value))
+        judge = judge_of(shared.value)
         for b in batches:
             ids, labels = b.column(0), b.column(1)
             found = judge.batch(b.column(2).to_pylist())
