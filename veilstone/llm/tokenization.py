@@ -10,6 +10,7 @@ Null, empty: an empty list. Special tokens are never produced: their strings are
 from __future__ import annotations
 
 import base64
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,7 @@ from veilstone.llm.batches import flat_map, table
 TOKENIZER_DIR = "/opt/tokenizers"
 # Fixed value: the pre-tokenisation pattern published with the byte-level BPE vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG = 1024  # bytes of a word from which it is merged by itself: a row's rounds and cells both grow with its length
 CACHE_WORDS = 400_000  # distinct words a task remembers before it starts over: bounds the worker's memory
 
 
@@ -119,10 +121,50 @@ class MatrixBpe:
                 ranks[right, at[right]] = self.pair_rank(m[right, at[right]], m[right, at[right] + 1])
         return out
 
+    def merge_long(self, word: bytes) -> list[int]:
+        """As merge_bucket() of one word, by a heap of pairs: the time grows little faster than the word."""
+        ids = self.byte_id[np.frombuffer(word, dtype=np.uint8)]
+        ranks = self.pair_rank(ids[:-1], ids[1:])
+        none = int(self.none)
+        heap = [(r, i) for i, r in enumerate(ranks.tolist()) if r < none]
+        heapq.heapify(heap)
+        tokens, n = ids.tolist(), len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i]
+            if tokens[i] < 0 or j >= n or self.rank_of(tokens[i], tokens[j]) != rank:
+                continue  # one of the pair has been merged since
+            tokens[i], tokens[j] = rank, -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (r := self.rank_of(rank, tokens[k])) < none:
+                    heapq.heappush(heap, (r, i))
+            if (h := before[i]) >= 0 and (r := self.rank_of(tokens[h], rank)) < none:
+                heapq.heappush(heap, (r, h))
+        return [t for t in tokens if t >= 0]
+
+    def rank_of(self, left: int, right: int) -> int:
+        """pair_rank() of one pair."""
+        key = left << 20 | right
+        at = (key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> int(self.shift)
+        for _ in range(self.probes):
+            found = self.keys[at]
+            if found == key:
+                return int(self.rank[at])
+            if found == -1:
+                break
+            at = (at + 1) & self.mask
+        return int(self.none)
+
     def learn(self, words: set[str]) -> None:
         buckets: dict[int, list[tuple[str, bytes]]] = {}
         for w in words:
             b = w.encode("utf-8", "surrogatepass")
+            if len(b) > LONG:
+                self.cache[w] = self.merge_long(b)
+                continue
             buckets.setdefault(max(1, len(b) - 1).bit_length(), []).append((w, b))
         for bits, group in buckets.items():
             step = max(1, (1 << 20) >> bits)  # a million cells a matrix at most
@@ -180,5 +222,22 @@ def p8_ids(spark, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p8_ids": p8_ids}
-ORACLES: dict[str, str] = {}
+def decode(df: DataFrame, id_col: str, ids_col: str, path: str = f"{TOKENIZER_DIR}/byte_bpe_50k.tiktoken") -> DataFrame:
+    """(id, content binary): the bytes that the ids stand for."""
+    shared = df.sparkSession.sparkContext.broadcast(load_ranks(path))
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def make():
+        tokens = {int(b): base64.b64decode(a) for a, b in (line.split() for line in shared.value.splitlines() if line)}
+        return lambda key, ids: iter([(key, b"".join(tokens[i] for i in ids))])
+
+    return flat_map(df.select(id_col, ids_col), make, f"{id_col} {kind}, content binary")
+
+
+def p8_rejoined(spark, sf_dir: str) -> DataFrame:
+    """Round trip: the MD5 of each document decoded from its ids."""
+    return decode(p8_ids(spark, sf_dir), "doc_id", "ids").select("doc_id", F.md5("content").alias("text_md5"))
+
+
+QUERIES = {"p8_ids": p8_ids, "p8_rejoined": p8_rejoined}
+ORACLES = {"p8_rejoined": "SELECT doc_id, md5(coalesce(text, '')) AS text_md5 FROM documents"}
