@@ -6,8 +6,8 @@ model over form, neighbouring words and name lists; chain edges join neighbourin
 or similar nodes anywhere in the document. Loopy message passing runs over all nodes of a batch at once. A final
 form check drops labels whose value can't be of that type (a phone number needs its digits).
 
-Node weights are fitted on at most SAMPLE_ROWS rows, labelled by the detectors' tags; detectors miss values, so
-untagged nodes weigh less. All rows and whole texts are searched.
+Node weights are fitted on some SAMPLE_ROWS rows, drawn by hash and labelled by the detectors' tags; detectors miss values, so
+untagged nodes weigh less. Edge potentials are fitted after them on the same rows by pseudo-likelihood. All rows and whole texts are searched.
 
 Null and empty fields hold nothing. Repeated rows give repeated results, reported once by p6_found. A field equal to
 another of its row isn't read twice. Columns not named are ignored.
@@ -24,39 +24,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilstone.llm.batches import table
+from veilstone.llm.batches import sample, table
+from veilstone.llm.scan_noise import title_key
 
 LABELS = ["O", "email", "phone", "identity_number", "street_address", "person_name"]
 O, EMAIL, PHONE, IDENT, ADDRESS, NAME = range(6)
-SAMPLE_ROWS = 2500  # rows read for fitting at most
+SAMPLE_ROWS = 5000  # rows of the training sample
 SIZE = 1 << 15
 MISSED, MISSED_NAME = 0.02, 0.08  # weight of untagged units and name words: detectors miss many
-CHAIN, SKIP = 1.2, 1.0  # potentials of equal labels along chain and skip edges
+CHAIN, SKIP, SIMILAR = range(3)  # kinds of edges: neighbouring words, equal nodes, similar nodes
+FIRST, MOST_EDGE = (1.2, 1.0, 0.8), 3.0  # potentials of equal labels along edges before fitting, and at most
 LISTED_PAIR = 2.0  # potential of words of a run with two listed name words, or with one and an initial
-ROUNDS = 4  # rounds of message passing
-MAX_SKIP = 1  # each node is joined to the last one like it before, so edges grow with the nodes only
+ROUNDS, SETTLED = 50, 1e-3  # rounds of message passing at most, and the change of a message that ends them
 
-# Words that introduce each kind, titles, and what closes a letter.
+# Chosen lists: titles, and words of ways and houses.
 TITLES = set("shri sri smt mr mrs ms miss dr prof kumari km er adv late".split())
+TITLES_DEVA = {"श्री", "श्रीमती", "सुश्री", "डॉ"}
 _DIGIT = "0-9०-९০-৯۰-۹٠-٩௦-௯"
 _LEVEL = str.maketrans("०१२३४५६७८९০১২৩৪৫৬৭৮৯۰۱۲۳۴۵۶۷۸۹٠١٢٣٤٥٦٧٨٩௦௧௨௩௪௫௬௭௮௯", "0123456789" * 5)
 _WAYS = r"Road|Street|Gali|Marg|Colony|Lane|Cross|Layout|Residency|Nagar|Sector|Market|Block|Chowk|Path|Bagh|Enclave|Apartments?|Society|Avenue|Vihar|Phase|Main"
-_AT, _DOT = r"(?:\s?[\[({<]\s?at\s?[\])}>]\s?|\s+at\s+)", r"(?:\s?[\[({<]\s?dot\s?[\])}>]\s?|\s+dot\s+)"
+_AT, _DOT = r"(?:\s?[\[({<]\s?(?i:at)\s?[\])}>]\s?|\s+(?i:at)\s+)", r"(?:\s?[\[({<]\s?(?i:dot)\s?[\])}>]\s?|\s+(?i:dot)\s+)"
+_SAYS_DOT = re.compile("dot", re.I)
 # each pattern starts with a set of characters, so that the scan passes over the rest quickly; look-behinds follow
 _L, _C = r"A-Za-z0-9._%+\-", f"{_DIGIT}OIl"
 _MAIL = re.compile(rf"[{_L}](?<![{_L}].)[{_L}]*\s?@\s?[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{{2,}}")
 _SPELT = re.compile(rf"[{_L}](?<![{_L}].)[{_L}]*{_AT}[A-Za-z0-9\-]+(?:{_DOT}[A-Za-z0-9\-]+)+")
 _HOUSE = re.compile(
-    rf"[FPRDHSQ](?<![\w#].)(?:lat|lot|oom|oor|ouse|hop|uarter|tr|\.\s?No)\b\.?\s*(?:No\b\.?\s*)?[A-Z]?-?[{_DIGIT}]+[A-Za-z]?(?:[-/][{_DIGIT}A-Za-z]+)*(?:,|\s+(?:behind|near|opp|opposite|beside|ke)\b)\s*\S+"
-    rf"|[मघफपकदবফவகمفہ](?<![ऀ-ॿঀ-৿஀-௿؀-ۿ].)(?:कान|र|्लैट|़्लैट|्लॉट|मरा|रवाज़ा|াড়ি|্ল্যাট|ீட்டு|தவு|کان|لیٹ)\s+(?:(?:नं|क्र|नंबर|संख्या|নং|எண்|نمبر)\.?\s*)?[{_DIGIT}]+[A-Za-z]?(?:[-/][{_DIGIT}A-Za-z]+)*(?:[,،]|\s+के\b)\s*\S+"
+    rf"[FPRDHSQ](?<![\w#].)(?:lat|lot|oom|oor|ouse|hop|uarter|tr|\.\s?No)\b\.?\s*(?:No\b\.?\s*)?[A-Z]?-?[{_DIGIT}]+[A-Za-z]?(?:[-/][{_DIGIT}A-Za-z]+)*(?=(?:,|\s+(?:behind|near|opp|opposite|beside|ke)\b)\s*\S)"
+    rf"|[मघफपकदবফவகمفہ](?<![ऀ-ॿঀ-৿஀-௿؀-ۿ].)(?:कान|र|्लैट|़्लैट|्लॉट|मरा|रवाज़ा|াড়ি|্ল্যাট|ீட்டு|தவு|کان|لیٹ)\s+(?:(?:नं|क्र|नंबर|संख्या|নং|எண்|نمبر)\.?\s*)?[{_DIGIT}]+[A-Za-z]?(?:[-/][{_DIGIT}A-Za-z]+)*(?=(?:[,،]|\s+के\b)\s*\S)"
 )
 _BARE_HOUSE = re.compile(rf"[{_DIGIT}](?<![\w#/.,:-].)(?<!\$\s.)[{_DIGIT}]{{0,3}}[A-Z]?(?:[-/][{_DIGIT}]+)?,\s+(?:[A-Z][a-z]+\s+){{1,3}}(?:{_WAYS})\b")
-_ADDRESS_REST = re.compile(rf"(?:,?\s+(?:[A-Z][A-Za-z]*\b|[{_DIGIT}]{{1,6}}\b(?![/.]\d)))*|(?:[^।.\n]{{0,60}}?(?=\s+(?:है|आहे)\b|।))")
+# how an address goes on after its house: in Latin letters over capitalised words, numbers and what stands near them,
+# in other scripts over words up to one that goes on with the sentence
+_NEAR = r"(?:behind|near|opp\.?|opposite|beside|next\s+to|off|ke|paas|peeche)\b(?:\s+(?:the|a)\b)?(?:\s+[a-z]+(?=[\s,.])){0,3}?"
+_REST_LATIN = re.compile(rf",?\s+(?:(?:{_NEAR}(?=,|\.|\s+[A-Z]|\s*$))|(?:No|St|Dr|Mt|Sec|Nr|Opp)\.(?=\s*[A-Z{_DIGIT}])|[A-Z][A-Za-z]*(?:[-'’][A-Za-z{_DIGIT}]+)*\b\.?(?=,)|[A-Z][A-Za-z]*(?:[-'’][A-Za-z{_DIGIT}]+)*\b|[{_DIGIT}]+\b(?![/.]\d))")
+_FIRST = re.compile(r"\s*[,،]?\s*[^\s,،।]+")
+_GOES_ON = "है हैं था थी हूँ असा आहे आहेत होता होती में मध्ये पर से का की के को ने और व तथा येथे मेरा मेरी मेरे हम माझा माझे माझी फोन संपर्क एवं এ তে থেকে আমি আমার এবং আছে এর ہے ہیں تھا تھی میں پر سے کا کی کے کو نے اور میرا میری ஆகும் இல் என் எனது மற்றும்".split()
+_REST_OTHER = re.compile(rf"(?:\s*[,،]\s*|[^\S\n]+|[^\S\n]*\n[^\S\n]*(?=\S))(?!(?:{'|'.join(_GOES_ON)})(?![ऀ-ॣॱ-ॿঀ-৿஀-௿؀-ۿ]))(?:(?:नं|क्र|নং|எண்)\.|[^\s,،।.;:!?()\[\]A-Za-z]+(?!\S*[@/]))")
 _NUMBER = re.compile(rf"[(+{_C}](?<![\w@/.].)[+{_C}]*(?:[-\s)]{{1,2}}(?=[({_C}])[({_C}]+)*(?![\w@]|[/.][{_DIGIT}])")
 _LETTERED = re.compile(
     rf"[A-Z](?<![A-Za-z0-9@/.].)(?:[A-Z]{{4}}\s?[{_C}]{{4}}\s?[A-Z]\b|[A-Z][-\s]?[0-9OI]{{2}}[-\s]?[A-Z]{{1,3}}[-\s]?[0-9OISB]{{4}}\b|[A-Z]{{0,5}}-?[0-9][0-9OIl]{{5,14}}\b)(?![@/])"
     rf"|[0-9I](?<![A-Za-z0-9@/.].)[A-Z]{{3}}[0-9OIB]{{4}}\b|[0-9](?<=\b[a-z]{{5}}.)[0-9]{{3}}[a-z]\b"
 )
+_ACCOUNT = re.compile(r"(?:account|a/c|acct|khata|खाता|खाते|খাতা|হিসাব|கணக்கு|اکاؤنٹ|کھاتہ)\S*(?:\s+(?:no|number|num|नं|नंबर|क्रमांक|संख्या|নং|எண்|نمبر)\b\.?)?\s*[:.#-]?\s*$", re.I)
 _GROUP = re.compile(rf"[(+{_C}]+")
 _TOKEN_L = re.compile(r"[A-Z](?:[A-Za-z@0159!(]*[A-Za-z])?(?:[-‐¬\xad~]\n[a-z]+)?")
 _SEQ = re.compile(r"[A-Z](?<![\w@.+\\<\-].)(?:\.|(?:[A-Za-z@0159!(]*[A-Za-z])?(?:[-‐¬\xad~]\n[a-z]+)?\.?)(?:[ \t]*\n?[ \t]*(?:(?<=\.)|(?<=\s))[A-Z](?:[A-Za-z@0159!(]*[A-Za-z])?(?:[-‐¬\xad~]\n[a-z]+)?\.?)*(?![\w@+])")
@@ -71,7 +81,7 @@ def level(s: str) -> str:
 
 def value_key(s: str) -> str:
     """Form under which values meet whatever their spelling."""
-    s = re.sub(r"\s*[\[(]?\b(at|dot)\b[\])]?\s*", lambda m: "@" if m.group(1) == "at" else ".", s) if " dot " in s or "dot]" in s or "dot)" in s else s
+    s = re.sub(r"\s*[\[(]?\b(at|dot)\b[\])]?\s*", lambda m: "@" if m.group(1).lower() == "at" else ".", s, flags=re.I) if re.search(r"dot[\s\])]", s, re.I) else s
     return re.sub(r"[\W_]+", "", level(s).casefold())
 
 
@@ -181,18 +191,27 @@ def numbers(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
     return out
 
 
+def address_end(text: str, start: int, end: int) -> int:
+    """Where an address that starts with text[start:end] ends."""
+    rest = _REST_OTHER if re.search(r"[ऀ-ॿঀ-৿஀-௿؀-ۿ]", text[start:end]) else _REST_LATIN
+    m = rest.match(text, end) or _FIRST.match(text, end)
+    while m:
+        end = m.end()
+        m = rest.match(text, end)
+    return end
+
+
 def units(text: str) -> Iterator[tuple[str, int, int, str]]:
     """(kind, start, end, form) of what has the form of an e-mail, address or number; earlier kinds take precedence."""
     if "@" in text:
         for m in _MAIL.finditer(text):
             yield "mail", m.start(), m.end(), "at"
-    if "dot" in text:
+    if _SAYS_DOT.search(text):
         for m in _SPELT.finditer(text):
             yield "mail", m.start(), m.end(), "spelled"
     for pattern, form in ((_HOUSE, "house"), (_BARE_HOUSE, "bare")):
         for m in pattern.finditer(text):
-            rest = _ADDRESS_REST.match(text, m.end())
-            yield "addr", m.start(), rest.end() if rest else m.end(), form
+            yield "addr", m.start(), address_end(text, *m.span()), form
     for m in _LETTERED.finditer(text):
         a, b = m.span()
         if text[a].isdigit() and text[b - 1].islower():
@@ -205,7 +224,11 @@ def units(text: str) -> Iterator[tuple[str, int, int, str]]:
     for m in _NUMBER.finditer(text):
         if m.end() - m.start() < 9:
             continue
-        for a, b, form in numbers(text, *m.span()):
+        found = numbers(text, *m.span())
+        if not found and _ACCOUNT.search(text, max(0, m.start() - 40), m.start()):  # a short account number shows only by the words before it
+            digits = re.sub(r"\D", "", level(m.group()))
+            found = [(*m.span(), "account")] if 9 <= len(digits) <= 18 else []
+        for a, b, form in found:
             if text[a] == "(" and ")" not in text[a:b]:
                 a += 1
             yield "num", a, b, form
@@ -246,12 +269,13 @@ def read(text: str, names: dict[str, str]) -> list[Node]:
     # words of unspaced-case scripts: only beside listed names, titles and where a paragraph is all there is
     if not text.isascii():
         toks = [(x.start(), x.end()) for x in _DEVA.finditer(text)]
+        titles = {i for i, (a, b) in enumerate(toks) if text[a:b] in TITLES_DEVA}
         want = set()
         for i, (a, b) in enumerate(toks):
             w = text[a:b]
             if names.get(w, "never") != "never":
                 want.update(range(max(0, i - 2), i + 3))
-            elif w in ("श्री", "श्रीमती", "सुश्री", "डॉ"):
+            elif i in titles:
                 want.update(range(i + 1, i + 4))
             elif w in ("नाम", "नाव"):
                 want.update([*range(max(0, i - 3), i), *range(i + 1, i + 4)])
@@ -261,7 +285,7 @@ def read(text: str, names: dict[str, str]) -> list[Node]:
             if line >= 0 and len(text[line:].split()) <= 3:
                 want.update(tail)
         run: list[tuple[int, int]] = []
-        for i in sorted(i for i in want if i < len(toks)):
+        for i in sorted(i for i in want if i < len(toks) and i not in titles):
             t = toks[i]
             if run and (text[run[-1][1] : t[0]].strip() or "\n\n" in text[run[-1][1] : t[0]]):
                 seq += 1
@@ -304,9 +328,20 @@ class Field:
     def __init__(self):
         self.w = np.zeros((SIZE, len(LABELS)), dtype=np.float32)
         self.known: dict[str, int] = {}
+        self.forms: dict[str, str] = {}
+        self.theta = np.array(FIRST)
 
     def __getstate__(self):
-        return {"w": self.w, "known": {}}
+        return {"w": self.w, "known": {}, "forms": {}, "theta": self.theta}
+
+    def similar(self, key: str) -> str:
+        """Form that a name shares with its misread spellings."""
+        form = self.forms.get(key)
+        if form is None:
+            if len(self.forms) > 200_000:
+                self.forms.clear()
+            form = self.forms[key] = title_key(key)
+        return form
 
     def index(self, f: str) -> int:
         i = self.known.get(f)
@@ -316,6 +351,61 @@ class Field:
             i = self.known[f] = zlib.crc32(f.encode("utf-8", "surrogatepass")) % SIZE
         return i
 
+    def edges(self, doc: list[Node]) -> Iterator[tuple[int, int, int]]:
+        """(node, node, kind): neighbouring words of a name, and each node with the last one like it.
+
+        So edges grow with the nodes only, and evidence goes from one repeat to the next through the whole document.
+        """
+        seen: dict[tuple[str, str], int] = {}
+        alike: dict[str, int] = {}
+        for i, n in enumerate(doc):
+            if i and n.kind == "name" and doc[i - 1].seq == n.seq:
+                yield i - 1, i, CHAIN
+            if len(n.key) > 1:
+                same = seen.get((n.kind, n.key))
+                if same is not None:
+                    yield same, i, SKIP
+                seen[n.kind, n.key] = i
+                if n.kind == "name" and len(n.key) > 3:
+                    form = self.similar(n.key)
+                    like = alike.get(form)
+                    if like is not None and like != same:
+                        yield like, i, SIMILAR
+                    alike[form] = i
+
+    def fit_edges(self, docs: list[list[Node]], labels: list[int], steps: int = 200, rate: float = 0.5) -> "Field":
+        """Edge potentials by pseudo-likelihood: each node's label given its features and the labels of its neighbours.
+
+        Nodes weigh as in fit(); kinds of edges that the sample has none of keep their first value.
+        """
+        nodes = [n for d in docs for n in d]
+        y = np.array(labels)
+        near = np.zeros((len(nodes), len(FIRST), len(LABELS)))
+        at = 0
+        for d in docs:
+            for i, j, k in self.edges(d):
+                near[at + i, k, y[at + j]] += 1
+                near[at + j, k, y[at + i]] += 1
+            at += len(d)
+        weight = np.where(y != O, 1.0, [MISSED_NAME if n.kind == "name" else MISSED for n in nodes])
+        held = (near.sum(axis=(1, 2)) > 0).nonzero()[0]
+        if not len(held):
+            return self
+        unary = np.full((len(held), len(LABELS)), -30.0)
+        for r, i in enumerate(held):
+            allowed = self.allowed(nodes[i])
+            unary[r, allowed] = self.w[[self.index(f) for f in nodes[i].feats]].sum(axis=0)[allowed]
+        near, y, weight = near[held], y[held], weight[held] / weight[held].sum()
+        theta = np.array(FIRST)
+        told = near[np.arange(len(y)), :, y]
+        for _ in range(steps):
+            z = unary + np.einsum("k,nkl->nl", theta, near)
+            p = np.exp(z - z.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            theta = np.clip(theta + rate * (weight[:, None] * (told - np.einsum("nl,nkl->nk", p, near))).sum(axis=0), 0.0, MOST_EDGE)
+        self.theta = theta
+        return self
+
     @staticmethod
     def allowed(n: Node) -> list[int]:
         if n.kind == "name":
@@ -373,18 +463,11 @@ class Field:
         edges, strength = [], []
         at = 0
         for k, d in enumerate(docs):
-            seen: dict[tuple[str, str], int] = {}
             for i, n in enumerate(d):
                 mask[at + i, self.allowed(n)] = 0.0
-                if i and n.kind == "name" and d[i - 1].seq == n.seq:
-                    edges.append((at + i - 1, at + i))
-                    strength.append(CHAIN)
-                if len(n.key) > 3:
-                    same = seen.get((n.kind, n.key))
-                    if same is not None:
-                        edges.append((at + same, at + i))
-                        strength.append(SKIP)
-                    seen[n.kind, n.key] = i
+            for i, j, k_edge in self.edges(d):
+                edges.append((at + i, at + j))
+                strength.append(self.theta[k_edge])
             for i, n in enumerate(d):
                 if n.kind == "name" and n.form in LISTED and (n.feats[10].startswith("known=2") or n.feats[2].startswith("k|l=i") or n.feats[3] in WITH_INITIAL):
                     unary[at + i, NAME] += LISTED_PAIR
@@ -406,8 +489,10 @@ class Field:
                 cavity = total[src] - msg[back]
                 cavity -= cavity.max(axis=1, keepdims=True)
                 p = np.exp(cavity)
-                msg = np.log(p * (gain - 1) + p.sum(axis=1, keepdims=True))
+                was, msg = msg, np.log(p * (gain - 1) + p.sum(axis=1, keepdims=True))
                 msg -= msg.mean(axis=1, keepdims=True)
+                if np.abs(msg - was).max() < SETTLED:
+                    break
             np.add.at(belief, dst, msg)
         best = belief.argmax(axis=1)
         out, at = [], 0
@@ -500,9 +585,9 @@ def masked_nodes(text: str, tagged: str | None, names: dict[str, str]) -> tuple[
 
 
 def train(df: DataFrame, name_parts: DataFrame, text_col: str, tags_col: str, sample_rows: int = SAMPLE_ROWS) -> tuple[Field, dict[str, str]]:
-    """Fit on at most sample_rows rows; names: the list (a small fixed table) and words of names tagged in the sample."""
+    """Fit on some sample_rows rows; names: the list (a small fixed table) and words of names tagged in the sample."""
     names = {r.token.lower(): r.part_kind for r in name_parts.filter("token IS NOT NULL").select("token", "part_kind").collect()}
-    rows = df.select(F.col(text_col).alias("t"), F.col(tags_col).alias("g")).filter("t IS NOT NULL AND g IS NOT NULL AND t NOT LIKE '[%'").limit(sample_rows).collect()
+    rows = sample(df.select(F.col(text_col).alias("t"), F.col(tags_col).alias("g")), sample_rows).filter("t IS NOT NULL AND g IS NOT NULL AND t NOT LIKE '[%'").collect()
     seen: dict[str, int] = {}
     for r in rows:
         for kind, value in tags_of(r.g):
@@ -518,11 +603,12 @@ def train(df: DataFrame, name_parts: DataFrame, text_col: str, tags_col: str, sa
         for w in {w for m in _SEQ.finditer(r.t) for w in re.findall(r"[A-Z][A-Za-z]+", m.group())}:
             common[w.lower()] = common.get(w.lower(), 0) + 1
     names.update({w: "never" for w, n in common.items() if n >= 5 and w not in names and w not in seen})
-    nodes, labels = [], []
+    nodes, labels, docs = [], [], []
     for r in rows:
         values: dict[str, int] = {value_key(v): k for k, v in tags_of(r.g) if k != O}
         people = [re.sub(r"\s+", " ", v).lower() for k, v in tags_of(r.g) if k == NAME]
-        for n in read(r.t, names):
+        docs.append(read(r.t, names))
+        for n in docs[-1]:
             if n.kind == "name":
                 around = re.sub(r"\s+", " ", re.sub(r"[-‐¬\xad~]\n", "", r.t[max(0, n.start - 40) : n.end + 40])).lower()
                 lab = NAME if any(n.key in p and p in around for p in people) else O
@@ -536,7 +622,7 @@ def train(df: DataFrame, name_parts: DataFrame, text_col: str, tags_col: str, sa
             labels.append(lab)
     if not nodes:
         return Field(), names
-    return Field().fit(nodes, labels), names
+    return Field().fit(nodes, labels).fit_edges(docs, labels), names
 
 
 def find(df: DataFrame, id_col: str, fields: list[str], masked: str | None, tags_col: str | None, model: tuple[Field, dict[str, str]], redact: bool = False) -> DataFrame:
