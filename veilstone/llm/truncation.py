@@ -2,8 +2,8 @@
 
 Two kinds of evidence, both from prefixes:
 
-1. Self-join by prefix. All values are sorted (range-partitioned, so no group of equal beginnings ends up in one
-   task); the values that a value is a strict prefix of follow it in this order, and all are judged. A value was cut
+1. Self-join by prefix. All distinct values are sorted (range-partitioned, so no group of equal beginnings ends up in
+   one task); the values that a value is a strict prefix of follow it in this order, and all are judged. A value was cut
    if a longer copy goes on inside its last word or sentence, or in the same paragraph after no terminal mark.
    Where copies tell line ends, those without any don't decide on the paragraph.
 2. The same question for the last words of a value, whose longer copy need not survive: hashed prefixes of all word
@@ -22,7 +22,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilstone.llm.batches import SENTINEL, flat_map, table
@@ -183,14 +183,12 @@ def verdict(value: str, copy: str, breaks: str) -> str:
 
 
 def longer_copies(values: DataFrame, n_parts: int) -> DataFrame:
-    """(record_id, verdict) of targets that are strict prefixes of other values, one for each kind of verdict.
+    """(value_key, verdict) of targets that are strict prefixes of other values, one for each kind of verdict.
 
-    values: record_id, value, breaks, is_target. Sorted over range partitions; each task keeps the values that the
+    values: value_key, value, breaks, is_target, distinct. Sorted over range partitions; each task keeps the values that the
     current one begins with. Those at the end of a task that begin the next task's first value meet all values in a
     second, small step.
     """
-    kind = values.schema["record_id"].dataType.simpleString()
-    id_type = {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -209,7 +207,7 @@ def longer_copies(values: DataFrame, n_parts: int) -> DataFrame:
             cols = list(zip(*out)) or [[]] * 5
             out.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.string(), id_type, pa.string(), pa.int32(), pa.string()))], names=["what", "record_id", "verdict", "part", "value"]
+                [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string()))], names=["what", "value_key", "verdict", "part", "value"]
             )
 
         for b in batches:
@@ -235,20 +233,20 @@ def longer_copies(values: DataFrame, n_parts: int) -> DataFrame:
             close(0)
             yield flush()
 
-    rows = values.repartitionByRange(n_parts, "value").sortWithinPartitions("value", "breaks").mapInArrow(scan, f"what string, record_id {kind}, verdict string, part int, value string")
+    rows = values.repartitionByRange(n_parts, "value").sortWithinPartitions("value", "breaks").mapInArrow(scan, "what string, value_key long, verdict string, part int, value string")
     rows = rows.persist()
-    found = rows.filter("what = 'found'").select("record_id", "verdict")
-    # one 'first' row per partition; the next partition that has rows is the neighbour
-    firsts = rows.filter("what = 'first'").select(F.col("part").alias("p2"), F.col("value").alias("v2"))
-    lasts = rows.filter("what = 'last'").select("record_id", "part", "value")
-    edge = lasts.join(F.broadcast(firsts), F.col("p2") > F.col("part")).groupBy("record_id", "value").agg(F.min_by("v2", "p2").alias("v2"))
-    edge = edge.filter(F.startswith(F.col("v2"), F.col("value"))).select("record_id", F.col("value").alias("short"))
+    found = rows.filter("what = 'found'").select("value_key", "verdict")
+    # one 'first' row per partition that has rows; the next of them is the neighbour
+    nexts = rows.filter("what = 'first'").select("part", F.lead("value").over(Window.orderBy("part")).alias("v2"))
+    lasts = rows.filter("what = 'last'").select("value_key", "part", "value").join(nexts, "part")
+    # at most one chain of prefixes for each border between partitions
+    edge = lasts.filter(F.startswith(F.col("v2"), F.col("value"))).select("value_key", F.col("value").alias("short"))
     beyond = values.select("value", "breaks").join(F.broadcast(edge), F.startswith(F.col("value"), F.col("short")) & (F.col("value") != F.col("short")))
 
     def maker():
         return lambda key, short, value, breaks: iter([(key, verdict(short, value, breaks))])
 
-    return found.unionByName(flat_map(beyond.select("record_id", "short", "value", "breaks"), maker, f"record_id {kind}, verdict string"))
+    return found.unionByName(flat_map(beyond.select("value_key", "short", "value", "breaks"), maker, "value_key long, verdict string"))
 
 
 def goes_on(rest: str, value: str = "", breaks: list[str] | None = None) -> str:
@@ -295,10 +293,16 @@ def find_cut(df: DataFrame, id_col: str, text_col: str, copies: list[tuple[DataF
     values = raw.withColumn("is_target", F.lit(True))
     for other, column in copies:
         values = values.unionByName(other.select(F.lit(None).cast(kind).alias("record_id"), F.col(column).alias("value"), F.lit(False).alias("is_target")).filter(usable))
-    copied = longer_copies(flat_map(values, level_maker, f"record_id {kind}, value string, breaks string, is_target boolean"), n_parts)
+    levelled = "record_id {}, value string, breaks string, is_target boolean"
+    key = F.xxhash64("value").alias("value_key")
+    # each value is sorted and judged once, however many records hold it; the verdicts come back to them by its hash
+    distinct = flat_map(values, level_maker, levelled.format(kind)).select(key, "value", "breaks", "is_target").distinct()
+    copied = longer_copies(distinct, n_parts)
     # copies that tell no line ends decide only where no other does
-    told = copied.groupBy("record_id").agg(*[F.max(F.col("verdict") == v).alias(v) for v in ("cut", "joined", "unknown")])
-    by_copy = told.filter("cut OR joined AND NOT unknown").select("record_id", F.lit("copy").alias("evidence"))
+    told = copied.groupBy("value_key").agg(*[F.max(F.col("verdict") == v).alias(v) for v in ("cut", "joined", "unknown")])
+    cut = told.filter("cut OR joined AND NOT unknown").select("value_key")
+    holders = flat_map(raw.withColumn("is_target", F.lit(True)), level_maker, levelled.format(kind)).select("record_id", key)
+    by_copy = holders.join(cut, "value_key").select("record_id", F.lit("copy").alias("evidence"))
     tails = by_tail(raw, corpus_counts(*corpus)).withColumn("evidence", F.lit("tail"))
     return by_copy.unionByName(tails).distinct()
 
