@@ -4,7 +4,8 @@ Bound-certified repacking. Items are hashed into partitions of bounded size and
 A lower bound from dual feasible functions certifies a partition whose container count meets it: its containers
 are closed. In a partition with a gap the well-filled containers are closed as well, and the documents of the
 others move to new, fewer partitions, where best-fit decreasing runs again. The last round has few documents left
-and closes everything. Only ids and sizes are shuffled; no round depends on a driver-side loop over data.
+and closes everything. Only ids and sizes of open documents are shuffled; no round depends on a driver-side loop over
+data.
 
 Documents longer than the capacity are cut into full containers and one rest, which is packed like any item;
 no other document is divided. Documents without tokens (null, empty) take no room and get container_id null.
@@ -16,6 +17,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,14 +112,18 @@ def pack(items: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY,
         F.when(F.col("tokens") == 0, F.lit("")).when(F.col("tokens") == capacity, F.concat(F.lit("full-"), "item_key", F.lit("-"), F.col("part_no").cast("string"))),
     )
     n_parts = max(1, -(-n_items // PART_ITEMS))
+    # a round's ids and sizes are kept on disk: its closed rows are done, its open ones go on, and nothing is computed twice
+    rows = rows.persist(StorageLevel.DISK_ONLY)
+    closed, open_ = rows.filter("box IS NOT NULL"), rows.filter("box IS NULL")
     for r in range(ROUNDS):
-        last = r == ROUNDS - 1
-        # closed rows keep travelling, spread over all partitions, so that no round is computed twice
         fewer = max(1, n_parts // SHRINK**r)
-        part = F.when(F.col("box").isNull(), F.pmod(F.xxhash64("item_key", "part_no", F.lit(r)), F.lit(fewer))).otherwise(F.pmod(F.xxhash64("item_key", "part_no"), F.lit(n_parts)))
-        rows = rows.withColumn("part", part)
-        rows = rows.groupBy("part").applyInPandas(repack(capacity, r, last), rows.schema)
-    return rows.select(id_col, "part_no", "tokens", F.when(F.col("box") != "", F.col("box")).alias("container_id"))
+        parted = open_.withColumn("part", F.pmod(F.xxhash64("item_key", "part_no", F.lit(r)), F.lit(fewer)))
+        packed = parted.groupBy("part").applyInPandas(repack(capacity, r, r == ROUNDS - 1), parted.schema).drop("part")
+        if r < ROUNDS - 1:
+            packed = packed.persist(StorageLevel.DISK_ONLY)
+            open_ = packed.filter("box IS NULL")
+        closed = closed.unionByName(packed.filter("box IS NOT NULL"))
+    return closed.select(id_col, "part_no", "tokens", F.when(F.col("box") != "", F.col("box")).alias("container_id"))
 
 
 def packed_documents(spark, sf_dir: str) -> DataFrame:
@@ -130,5 +136,18 @@ def p9_containers(spark, sf_dir: str) -> DataFrame:
     return packed_documents(spark, sf_dir)
 
 
-QUERIES = {"p9_containers": p9_containers}
-ORACLES: dict[str, str] = {}
+def p9_checked(spark, sf_dir: str) -> DataFrame:
+    """Per document: whether it lies in a container, and whether all its parts and containers keep to the capacity."""
+    packed = packed_documents(spark, sf_dir)
+    # containers hold few documents, so their sums spread over all tasks
+    over = packed.filter("container_id IS NOT NULL").groupBy("container_id").agg(F.sum("tokens").alias("held"))
+    rows = packed.join(over, "container_id", "left")
+    n, tokens = F.count("*"), F.coalesce(F.sum("tokens"), F.lit(0))
+    return rows.groupBy("doc_id").agg(
+        (F.max("container_id").isNotNull()).alias("is_placed"),
+        ((F.coalesce(F.max("held"), F.lit(0)) <= CAPACITY) & (n == F.greatest(F.lit(1), F.ceil(tokens / CAPACITY)))).alias("keeps_capacity"),
+    )
+
+
+QUERIES = {"p9_containers": p9_containers, "p9_checked": p9_checked}
+ORACLES = {"p9_checked": "SELECT doc_id, coalesce(text, '') <> '' AS is_placed, true AS keeps_capacity FROM documents"}
