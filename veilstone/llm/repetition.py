@@ -37,7 +37,7 @@ THRESHOLDS = [
     ("lacks_stop_words", "stop_word_share", "<", 0.02),
     ("is_short", "n_letters", "<", 50),
 ]
-# Fixed value: frequent function words of the languages at hand.
+# A chosen list: frequent function words of the languages at hand.
 STOP_WORDS = "the of and to a in is was for on by that with ke ki ka ko ne se hai mein par aur nahi के की का को ने से है में पर और नहीं आहे ने च्या এর ও এবং না کے کی کا کو نے سے ہے میں اور نہیں".split()
 
 

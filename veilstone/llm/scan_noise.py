@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from veilstone.llm.batches import SENTINEL, flat_map, table
 from veilstone.llm.sketch import key_counts, key_hash
 
-# Characters a scanner confuses, read form -> true forms.
+# A chosen list: characters a scanner confuses, read form -> true forms.
 CONFUSED = {
     "0": ["o"], "1": ["l", "i"], "!": ["i", "l"], "|": ["l", "i"], "5": ["s"], "9": ["g"], "6": ["b"], "8": ["b"], "@": ["a"], "$": ["s"], "(": ["c"], "c": ["e"], "f": ["t"], "b": ["h"], "ii": ["u"], "cl": ["d"],
     "rn": ["m"], "vv": ["w"], "li": ["h"], "nn": ["m"], "q": ["g"],
