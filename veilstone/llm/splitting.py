@@ -84,10 +84,16 @@ def snapped(n: int, start: int, at: list[int], strength: list[float], limit: int
     return at[j] if j >= 0 and at[j] > start + overlap else start + limit
 
 
+def is_forced(text: str, pieces: list[tuple[int, int]], limit: int) -> bool:
+    """Whether a cut lies inside a stretch without white space that is longer than the limit; every such stretch holds one."""
+    long = [m.span() for m in _STRETCH.finditer(text) if m.end() - m.start() > limit]
+    return any(a < end < b for _, end in pieces[:-1] for a, b in long)
+
+
 def split_text(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """One row per piece: id, piece_no from 1, start_pos from 1, piece, cut ('whole', 'natural' or 'forced').
 
-    cut is 'forced' if the text holds a stretch longer than the limit without white space, else 'natural'.
+    cut is 'forced' if a piece had to end inside a stretch without white space that is longer than the limit, else 'natural'.
     """
     kind = df.schema[id_col].dataType.simpleString()
 
@@ -96,9 +102,9 @@ def split_text(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT, ov
             if len(text) <= limit:
                 yield key, 1, 1, text, "whole"
                 return
-            cut = "forced" if max(map(len, _STRETCH.findall(text)), default=0) > limit else "natural"
-            at, strength = boundaries(text)
-            for i, (a, b) in enumerate(plan(len(text), at, strength, limit, overlap), 1):
+            pieces = plan(len(text), *boundaries(text), limit, overlap)
+            cut = "forced" if is_forced(text, pieces, limit) else "natural"
+            for i, (a, b) in enumerate(pieces, 1):
                 yield key, i, a + 1, text[a:b], cut
 
         return step
