@@ -1,7 +1,8 @@
 """Problem 4: noise in text from scanned pages.
 
-Noisy channel: every word is read as a true word times the probability that its characters were confused; the
-language model is the corpus itself, its exact word and word-pair counts over all rows. These stay distributed: words
+Noisy channel: every word is read as a true word times the probability that its characters were confused. How often
+each pair of characters is confused is estimated from the corpus: rare words are aligned with frequent ones that they
+become with one confused character put right. The language model is the corpus itself, its exact word and word-pair counts over all rows. These stay distributed: words
 that can be read for each other share a form (see CLASSES) and meet under it, which gives every word its candidates;
 these are joined with the texts that hold the word, and the counts that a text's lines ask for are joined with it.
 Each line is decoded by Viterbi over the candidate words. A word counts as misread if the decoded word differs from it.
@@ -36,8 +37,10 @@ CONFUSED = {
 SIGNS = set("0156789!|@$(")
 # Each read form and its true forms come to one form if these are replaced: 'rn' and 'm' both to 'nn'.
 CLASSES = ("i1!|e(rf5$90@", "llllccntssgoa"), [("q", "g"), ("u", "ll"), ("h", "ll"), ("b", "ll"), ("6", "ll"), ("8", "ll"), ("d", "cl"), ("m", "nn"), ("w", "vv")]
+EVEN = {(read, true): math.log(0.01) for read, ways in CONFUSED.items() for true in ways}  # costs where none are estimated
 _CONFUSABLE = re.compile("|".join(re.escape(x) for x in CONFUSED))
-LOG_CONFUSE, LOG_TWO = math.log(0.01), math.log(0.001)  # one confused character, two of them
+LOG_CONFUSE, LOG_TWO = math.log(0.01), math.log(0.001)  # one confused character, two of them: means over all pairs
+RARE, FREQUENT, STEADY = 2, 20, 20.0  # counts of words aligned for the estimate, and how many alignments its mean weighs
 LOG_SIGN = math.log(1e-4)  # that a true word holds a digit or sign between letters
 UNDONE = 60  # characters up to which all ways to put a word right are tried; longer ones are compared with known words
 ALPHA = 0.05  # count of a word never seen
@@ -121,14 +124,44 @@ def same_form(word: Column) -> Column:
     return out
 
 
+def of_same_form(counts: DataFrame) -> DataFrame:
+    """(words): the words with their counts that can be read for each other."""
+    words = counts.filter("key IS NOT NULL")
+    return words.groupBy(same_form(F.col("key")).alias("form")).agg(F.collect_list(F.struct("key", "n")).alias("words")).filter("size(words) > 1").select("words")
+
+
+def confusion_costs(counts: DataFrame) -> dict[tuple[str, str], float]:
+    """(read, true) -> log probability, estimated from rare words aligned with frequent ones; at most one row for each pair of CONFUSED is collected."""
+
+    def make():
+        def step(words):
+            known = {x["key"]: x["n"] for x in words}
+            frequent = {w for w, n in known.items() if n >= FREQUENT}
+            channel = Channel(1, known, {})
+            for w in known if frequent else ():
+                if known[w] <= RARE and len(w) > 2:
+                    yield from {(read, true) for c, read, true in channel.undo(w) if c in frequent}
+
+        return step
+
+    seen = flat_map(of_same_form(counts), make, "read string, true string").groupBy("read", "true").count()
+    return costs_of({(r["read"], r["true"]): r["count"] for r in seen.collect()})
+
+
+def costs_of(seen: dict[tuple[str, str], int]) -> dict[tuple[str, str], float]:
+    """Shares of the pairs among all alignments, smoothed by their mean, about LOG_CONFUSE."""
+    pairs = [(read, true) for read, ways in CONFUSED.items() for true in ways]
+    mean = sum(seen.values()) / len(pairs)
+    return {p: LOG_CONFUSE + math.log((seen.get(p, 0) + STEADY) / (mean + STEADY)) for p in pairs}
+
+
 def all_candidates(counts: DataFrame, total: int) -> DataFrame:
     """(word, options) of the words that have other candidates than themselves."""
-    words = counts.filter("key IS NOT NULL")
-    groups = words.groupBy(same_form(F.col("key")).alias("form")).agg(F.collect_list(F.struct("key", "n")).alias("words")).filter("size(words) > 1").select("words")
+    groups, costs = of_same_form(counts), confusion_costs(counts)
 
     def make():
         def step(words):
-            channel = Channel(total, {x["key"]: x["n"] for x in words}, {})
+            channel = Channel(total, {x["key"]: x["n"] for x in words}, {}, costs=costs)
             for x in words:
                 found = channel.search(x["key"])
                 if len(found) > 1:
@@ -139,43 +172,61 @@ def all_candidates(counts: DataFrame, total: int) -> DataFrame:
     return flat_map(groups, make, "word string, options array<struct<word:string,p:double>>")
 
 
-def becomes(w: str, c: str, most: int) -> bool:
-    """Whether up to most confused characters put right turn w into c; a read form and its true one differ in their first character."""
+def alignment(w: str, c: str, most: int, costs: dict[tuple[str, str], float]) -> float | None:
+    """Least cost of turning w into c by up to most confused characters put right; None if it can't be.
+
+    A read form and its true one differ in their first character, so each stands where the words part.
+    """
     i = 0
     while i < len(w) and i < len(c) and w[i] == c[i]:
         i += 1
     if w[i:] == c[i:]:
-        return True
-    return most > 0 and any(w.startswith(read, i) and c.startswith(true, i) and becomes(w[i + len(read) :], c[i + len(true) :], most - 1) for read, ways in CONFUSED.items() for true in ways)
+        return 0.0
+    if not most:
+        return None
+    ways = [(read, true, rest) for read, true in costs if w.startswith(read, i) and c.startswith(true, i) if (rest := alignment(w[i + len(read) :], c[i + len(true) :], most - 1, costs)) is not None]
+    return max((costs[read, true] + rest for read, true, rest in ways), default=None)
 
 
 class Channel:
     """Candidates of words and the decoding of lines."""
 
-    def __init__(self, total: int, counts: dict, options: dict[str, list[tuple[str, float]]], of=lambda k: k):
-        """counts: by what of() makes of a word or pair; options: candidates of the words that have any."""
-        self.total, self.counts, self.options, self.of = max(1, total), counts, options, of
+    def __init__(self, total: int, counts: dict, options: dict[str, list[tuple[str, float]]], of=lambda k: k, costs: dict[tuple[str, str], float] | None = None):
+        """counts: by what of() makes of a word or pair; options: candidates of the words that have any; costs: see confusion_costs()."""
+        self.total, self.counts, self.options, self.of, self.costs = max(1, total), counts, options, of, costs or EVEN
 
     def n(self, key: str) -> int:
         return self.counts.get(self.of(key), 0)
 
-    def one(self, w: str) -> set[str]:
-        """Known words that w becomes with one confused character put right; long words are compared with the others of their form."""
+    def one(self, w: str) -> dict[str, float]:
+        """Words that w becomes with one confused character put right, with its cost; long words are compared with the others of their form."""
         if len(w) > UNDONE:
-            return {c for c in self.counts if c != w and becomes(w, c, 1)}
-        return set(self.undo(w))
+            return {c: x for c in self.counts if c != w and (x := alignment(w, c, 1, self.costs)) is not None}
+        out: dict[str, float] = {}
+        for c, read, true in self.undo(w):
+            out[c] = max(out.get(c, -math.inf), self.costs[read, true])
+        return out
 
-    def two(self, w: str, first: set[str]) -> set[str]:
+    def two(self, w: str, first: dict[str, float]) -> dict[str, float]:
+        """As one(), with two characters."""
         if len(w) > UNDONE:
-            return {c for c in self.counts if c != w and c not in first and becomes(w, c, 2)}
-        return {c for a in first for c in self.undo(a)} - first - {w}
-
-    def undo(self, w: str) -> Iterator[str]:
+            found = {c: x for c in self.counts if c != w and c not in first and (x := alignment(w, c, 2, self.costs)) is not None}
+        else:
+            found = {}
+            for a, cost in first.items():
+                for c, read, true in self.undo(a):
+                    if c not in first and c != w:
+                        found[c] = max(found.get(c, -math.inf), cost + self.costs[read, true])
+        return {c: x + LOG_TWO - 2 * LOG_CONFUSE for c, x in found.items()}
+
+    def undo(self, w: str) -> Iterator[tuple[str, str, str]]:
+        """(word, read, true) for each way to put one confused character of w right."""
         for i in range(len(w)):
             for size in (1, 2):
-                for true in CONFUSED.get(w[i : i + size], ()):
-                    if len(w[i : i + size]) == size:
-                        yield w[:i] + true + w[i + size :]
+                read = w[i : i + size]
+                if len(read) == size:
+                    for true in CONFUSED.get(read, ()):
+                        yield w[:i] + true + w[i + size :], read, true
 
     def prior(self, w: str, own: int = 0) -> float:
         return math.log(max(self.n(w) - own, 0) + ALPHA) - math.log(self.total)
@@ -195,14 +246,14 @@ class Channel:
         stay = self.prior(w, 1) + itself[1]
         # a word so frequent that no other can outdo it has no candidates
         if self.n(w) * math.exp(LOG_CONFUSE) < self.total * 0.08 or odd:
-            first = self.one(w) if len(w) > 2 else set()
-            for c in first:
-                if self.n(c) > 1 and self.prior(c) + LOG_CONFUSE > stay - 3 and not any(x in SIGNS for x in c):
-                    out.append((c, LOG_CONFUSE))
+            first = self.one(w) if len(w) > 2 else {}
+            for c, cost in first.items():
+                if self.n(c) > 1 and self.prior(c) + cost > stay - 3 and not any(x in SIGNS for x in c):
+                    out.append((c, cost))
             if len(out) == 1 and len(w) > 3:
-                for c in self.two(w, first):
-                    if self.n(c) > 2 and self.prior(c) + LOG_TWO > stay and not any(x in SIGNS for x in c):
-                        out.append((c, LOG_TWO))
+                for c, cost in self.two(w, first).items():
+                    if self.n(c) > 2 and self.prior(c) + cost > stay and not any(x in SIGNS for x in c):
+                        out.append((c, cost))
             out = out[:1] + sorted(out[1:], key=lambda x: (-(self.prior(x[0]) + x[1]), x[0]))
         return out
 
