@@ -90,12 +90,11 @@ def repack(capacity: int, round_no: int, last: bool):
     return run
 
 
-def pack(items: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY, n_items: int | None = None) -> DataFrame:
+def pack(items: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY) -> DataFrame:
     """(id, part_no, tokens, container_id) for a table of distinct ids and sizes.
 
-    part_no is 1 unless the item exceeds the capacity. Null sizes count as 0. n_items, if known, saves a count.
+    part_no is 1 unless the item exceeds the capacity. Null sizes count as 0.
     """
-    n_items = items.count() if n_items is None else n_items
     size = F.coalesce(F.col(size_col).cast("bigint"), F.lit(0))
     parts = F.when(size <= capacity, F.array(size)).otherwise(
         F.concat(F.array_repeat(F.lit(capacity).cast("bigint"), (F.floor((size - 1) / capacity)).cast("int")), F.array((size - 1) % capacity + 1))
@@ -111,9 +110,10 @@ def pack(items: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY,
         "box",
         F.when(F.col("tokens") == 0, F.lit("")).when(F.col("tokens") == capacity, F.concat(F.lit("full-"), "item_key", F.lit("-"), F.col("part_no").cast("string"))),
     )
-    n_parts = max(1, -(-n_items // PART_ITEMS))
-    # a round's ids and sizes are kept on disk: its closed rows are done, its open ones go on, and nothing is computed twice
+    # ids and sizes are kept on disk before the rounds begin, which would compute them side by side; a round's closed rows
+    # are done, its open ones go on
     rows = rows.persist(StorageLevel.DISK_ONLY)
+    n_parts = max(1, -(-rows.count() // PART_ITEMS))
     closed, open_ = rows.filter("box IS NOT NULL"), rows.filter("box IS NULL")
     for r in range(ROUNDS):
         fewer = max(1, n_parts // SHRINK**r)
@@ -129,7 +129,7 @@ def pack(items: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY,
 def packed_documents(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sizes = encode(docs, "doc_id", "text", count_only=True)
-    return pack(sizes, "doc_id", "n_tokens", n_items=docs.count())
+    return pack(sizes, "doc_id", "n_tokens")
 
 
 def p9_containers(spark, sf_dir: str) -> DataFrame:
