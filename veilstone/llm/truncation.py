@@ -182,12 +182,12 @@ def verdict(value: str, copy: str, breaks: str) -> str:
     return goes_on(copy[len(value) : len(value) + 60], value, breaks.split())
 
 
-def longer_copies(values: DataFrame, n_parts: int) -> DataFrame:
+def longer_copies(values: DataFrame, every: DataFrame, n_parts: int) -> DataFrame:
     """(value_key, verdict) of targets that are strict prefixes of other values, one for each kind of verdict.
 
     values: value_key, value, breaks, is_target, distinct. Sorted over range partitions; each task keeps the values that the
-    current one begins with. Those at the end of a task that begin the next task's first value meet all values in a
-    second, small step.
+    current one begins with. Those at the end of a task that begin the next task's first value meet every value (value,
+    breaks, as they are read, without a shuffle) in a second, small step.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +241,7 @@ def longer_copies(values: DataFrame, n_parts: int) -> DataFrame:
     lasts = rows.filter("what = 'last'").select("value_key", "part", "value").join(nexts, "part")
     # at most one chain of prefixes for each border between partitions
     edge = lasts.filter(F.startswith(F.col("v2"), F.col("value"))).select("value_key", F.col("value").alias("short"))
-    beyond = values.select("value", "breaks").join(F.broadcast(edge), F.startswith(F.col("value"), F.col("short")) & (F.col("value") != F.col("short")))
+    beyond = every.join(F.broadcast(edge), F.startswith(F.col("value"), F.col("short")) & (F.col("value") != F.col("short")))
 
     def maker():
         return lambda key, short, value, breaks: iter([(key, verdict(short, value, breaks))])
@@ -296,8 +296,9 @@ def find_cut(df: DataFrame, id_col: str, text_col: str, copies: list[tuple[DataF
     levelled = "record_id {}, value string, breaks string, is_target boolean"
     key = F.xxhash64("value").alias("value_key")
     # each value is sorted and judged once, however many records hold it; the verdicts come back to them by its hash
-    distinct = flat_map(values, level_maker, levelled.format(kind)).select(key, "value", "breaks", "is_target").distinct()
-    copied = longer_copies(distinct, n_parts)
+    every = flat_map(values, level_maker, levelled.format(kind))
+    distinct = every.groupBy("value", "breaks").agg(F.max("is_target").alias("is_target")).select(key, "value", "breaks", "is_target")
+    copied = longer_copies(distinct, every.select("value", "breaks"), n_parts)
     # copies that tell no line ends decide only where no other does
     told = copied.groupBy("value_key").agg(*[F.max(F.col("verdict") == v).alias(v) for v in ("cut", "joined", "unknown")])
     cut = told.filter("cut OR joined AND NOT unknown").select("value_key")
