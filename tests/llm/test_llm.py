@@ -356,6 +356,42 @@ def test_truncation_by_longer_copies_of_any_script(spark):
         assert got == {1, 2, 3, 7}, (n_parts, got)
 
 
+def test_truncation_before_points_of_omission(spark):
+    full = ["The clerk returned the form without giving any reason. Nobody took responsibility...\n\nPlease help us..."] * 6
+    values = {
+        1: "The clerk returned the form without giv...", 2: "Some other story. The clerk returned the form without…", 3: "A new place of the matter [...]", 4: "The clerk returned the form. . .", 5: "Please help us...",
+        6: "Nobody took responsibility...", 7: "The clerk left. [...]", 8: "...", 9: " \n ", 10: "The clerk returned the form without giving any reason...", 11: "Read the note.<p>It is <b>ours</b", 12: "Name ..........",
+    }
+    a = spark.createDataFrame([(100 + i, t, t) for i, t in enumerate(full)] + [(k, v, None) for k, v in values.items()], "record_id long, s string, f string")
+    for n_parts in (1, 5):
+        assert {r.record_id for r in truncation.find_cut(a, "record_id", "s", [(a, "f")], (a, "f"), n_parts).collect()} == {1, 2, 3, 4, 11}
+
+
+def test_truncation_where_the_own_text_is_cut_too(spark):
+    full = [f"Letter {c} came.\n\nThey lost the income certificate contrary to the rules." for c in range(40)]
+    cut = {1: "A story of many words. They lost the income certificate cont", 2: "They came on 5 May 2025. Contr", 3: "Shri Vasanthi came. We saw the income certificate contrary"}
+    rows_ = [(100 + i, t, t) for i, t in enumerate(full)] + [(k, t, t) for k, t in cut.items()] * 2 + [(50, "They met Asha Contraband", "They met Asha Contraband")]
+    a = spark.createDataFrame(rows_, "record_id long, s string, f string")
+    got = truncation.find_cut(a, "record_id", "s", [(a, "f")], (a, "f"), 3).filter("evidence = 'tail'")
+    assert {r.record_id for r in got.collect()} == {1, 2, 3}
+
+
+def test_truncation_after_a_short_form_that_ends_other_cut_texts_too(spark):
+    full = [(100 + i, None, f"Item {i}. We paid Rs. 5 to them.") for i in range(1100)]
+    a = spark.createDataFrame([(1, "He asked for Rs.", "He asked for Rs."), (2, "They gave Rs.", "They gave Rs."), *full], "record_id long, s string, f string")
+    assert {r.record_id for r in truncation.find_cut(a, "record_id", "s", [(a, "f")], (a, "f"), 3).collect()} == {1, 2}
+
+
+def test_truncation_by_the_own_text_that_differs_before():
+    value = "Some scanned page. To our surprise, the office kept aside the seed voucher"
+    goes = {
+        " while the queue grew.": True, "\nwhile the queue grew.": False, ".": False, "\n\nWith regards": False, "": False, " Register of the office\n\nAsha": True, ", as we know": False, "s went.": True,
+    }
+    for rest, told in goes.items():
+        assert truncation.own_goes_on(value, "S0me scanned page.\n4\n" + value[19:] + rest) == told, rest
+    assert not truncation.own_goes_on(value, value[19:] + " Register") and not truncation.own_goes_on(value, f"{value} while it rained. {value}")
+
+
 ADDRESSES = {
     "We live at Flat 4, behind the old mill, near Shiv Nagar since birth.": "Flat 4, behind the old mill, near Shiv Nagar", "मेरा पता मकान नं. 12, गली नंबर 4, शिव नगर, निंबोली है। बाबू": "मकान नं. 12, गली नंबर 4, शिव नगर, निंबोली",
     "घर नं. ५, शिव नगर, निंबोली असा आहे. हा": "घर नं. ५, शिव नगर, निंबोली", "At House No. 12, Gali No. 4, St. Mary's Road, Nimboli-110001. The clerk": "House No. 12, Gali No. 4, St. Mary's Road, Nimboli-110001", "I live at Plot 150, Sector 16, Nimboli by mistake.": "Plot 150, Sector 16, Nimboli",
